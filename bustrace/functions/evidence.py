@@ -18,26 +18,30 @@ def members_sql(value: str, names: list[str]) -> str:
     return f"transform_values({present}, (name, leaf) -> {leaf_sql('leaf')})"
 
 
-def evidence_sql(found: str, headers: str, aliases: dict[str, list[str]]) -> str:
-    """First alias in the value, else first alias in the headers, for each identifier."""
-
-    def first(spellings: list[str]) -> str:
-        return ", ".join(f"try_element_at({src}, {quote(a)})" for src in (found, headers) for a in spellings)
-
-    return "struct(" + ", ".join(f"coalesce({first(a)}) as {name}" for name, a in aliases.items()) + ")"
-
-
 def with_evidence(df: DataFrame, aliases: dict[str, list[str]] = EVIDENCE_ALIASES) -> DataFrame:
-    """Add ``keys`` and the constant contract columns to decoded messages."""
-    names = [a for spellings in aliases.values() for a in spellings]
+    """Add ``keys`` and the constant contract columns to decoded messages.
+
+    Each identifier is the first non-null alias in the value, else the first alias in the headers.
+    """
+    spellings = {a: f"_alias{i}" for i, a in enumerate(a for names in aliases.values() for a in names)}
+    leaves = {column: F.expr(f"""try_variant_get(value, '$["{a}"]', 'variant')""") for a, column in spellings.items()}
+    first, texts = {}, []
+    for name, names in aliases.items():
+        in_value = ", ".join(f"if(is_variant_null({spellings[a]}), null, {spellings[a]})" for a in names)
+        in_headers = ", ".join(f"try_element_at(headers, {quote(a)})" for a in names)
+        first[f"_{name}"] = F.expr(f"coalesce({in_value})")
+        texts.append(f"coalesce(if(_{name} is null, null, {leaf_sql(f'_{name}')}), {in_headers}) as {name}")
+    # One projection per step: the members, the first of each identifier, its text.
     return (
-        df.withColumn("_found", F.expr(members_sql("value", names)))
+        df.withColumns(leaves)
+        .withColumns(first)
+        .drop(*leaves)
         .withColumns(
             {
-                "keys": F.expr(evidence_sql("_found", "headers", aliases)),
+                "keys": F.expr(f"struct({', '.join(texts)})"),
                 "source": F.lit(SOURCE),
                 "event_type": F.lit(MESSAGE_EVENT),
             }
         )
-        .drop("_found")
+        .drop(*first)
     )

@@ -13,7 +13,7 @@ from bustrace.functions.text import leaf_sql, quoted_list
 from bustrace.model import COORDS, ID_FIELDS, SOURCE_FIELDS
 
 IDS_TYPE = "array<struct<id:string,method_rank:int,method:string>>"
-_ENTRIES_TYPE = "array<struct<kind_rank:int,field_rank:int,field:string,text:string,leaf:variant>>"
+_ENTRIES_TYPE = "array<struct<kind_rank:int,field_rank:int,field:string,text:string>>"
 
 
 def java_pattern(pattern: str) -> str | None:
@@ -95,7 +95,8 @@ def with_identifiers(
 def correlation_ids(messages: DataFrame, *args, **kwargs) -> DataFrame:
     """(topic, partition, offset, id, method), one row per identifier and method of each message."""
     found = with_identifiers(messages, *args, **kwargs)
-    return found.select(*COORDS, F.explode("ids").alias("i")).select(*COORDS, "i.id", "i.method")
+    rows = found.select(*COORDS, F.explode_outer("ids").alias("i")).filter("i is not null")
+    return rows.select(*COORDS, "i.id", "i.method")
 
 
 def backward_rank(id_fields: list[str]) -> int:
@@ -118,35 +119,39 @@ def references(
     forward, n = f"array({quoted_list(id_fields)})", len(id_fields)
     backward = f"array({quoted_list(source_fields)})"
     wanted = [*id_fields, *(source_fields if bidirectional else [])]
-    no_leaf = "cast(null as variant)"
 
-    def entry(kind_rank: str, field_rank: str, field: str, text: str, leaf: str) -> str:
+    def entry(kind_rank: str, field_rank: str, field: str, text: str) -> str:
         return (
             f"struct(cast({kind_rank} as int) as kind_rank, cast({field_rank} as int) as field_rank, {field} as field,"
-            f" {text} as text, {leaf} as leaf)"
+            f" {text} as text)"
         )
 
-    position = f"array_position({forward}, e.key)"
-    header_entry = entry(position, "0", "concat('header:', e.key)", "e.value", no_leaf)
+    position, source = f"array_position({forward}, _name)", f"array_position({backward}, _name)"
+    own = entry("0", "0", "'key'", "_key")
+    header_entry = entry(f"array_position({forward}, e.key)", "0", "concat('header:', e.key)", "e.value")
+    header_part = f"map_filter(_headers, (name, text) -> name in ({quoted_list(id_fields)}))"
     value_entry = entry(
         f"if({position} > 0, {position} + {n}, {backward_rank(id_fields)})",
-        f"if({position} > 0, 0, array_position({backward}, e.key))",
-        "concat('value:', e.key)",
-        "cast(null as string)",
-        "e.value",
-    )
-    header_part = f"map_filter(headers, (name, text) -> name in ({quoted_list(id_fields)}))"
-    value_part = (
-        "map_filter(try_variant_get(value, '$', 'map<string,variant>'),"
-        f" (name, leaf) -> name in ({quoted_list(wanted)}))"
+        f"if({position} > 0, 0, {source})",
+        "concat('value:', _name)",
+        leaf_sql("_leaf"),
     )
     empty = f"cast(array() as {_ENTRIES_TYPE})"
+    first, is_wanted = "coalesce(_pos, 0) = 0", f"coalesce(_name in ({quoted_list(wanted)}), false)"
+
+    # Members of the value become rows; the first row of a message also stands for its key and headers.
+    renamed = messages.select(
+        *COORDS, *carry, F.col("key").alias("_key"), F.col("headers").alias("_headers"), F.col("value").alias("_value")
+    )
+    tvf = messages.sparkSession.tvf
+    rows = renamed.lateralJoin(tvf.variant_explode_outer(F.col("_value").outer()).toDF("_pos", "_name", "_leaf"))
+    rows = rows.filter(f"{first} or {is_wanted}")
     entries = f"""concat(
-      array({entry("0", "0", "'key'", "key", no_leaf)}),
-      transform(map_entries({header_part}), e -> {header_entry}),
-      coalesce(transform(map_entries({value_part}), e -> {value_entry}), {empty}))"""
-    rows = messages.select(*COORDS, *carry, F.expr(f"explode({entries})").alias("_e"))
-    rows = rows.select(*COORDS, *carry, "_e.*").filter("text is not null or leaf is not null")
-    # Never null after the filter; saying so spares a null test on the join key, which would repeat the expression.
-    ref_id = F.expr(f"coalesce(if(leaf is null, text, {leaf_sql('leaf')}), '')").alias("ref_id")
-    return rows.select(*COORDS, *carry, "kind_rank", "field_rank", "field", ref_id)
+      if({first}, concat(array({own}), transform(map_entries({header_part}), e -> {header_entry})), {empty}),
+      if({is_wanted}, array({value_entry}), {empty}))"""
+    # The outer form, as for every computed array here: the inner one adds a size test that repeats the expression.
+    rows = rows.select(*COORDS, *carry, F.expr(f"explode_outer({entries})").alias("_e"))
+    # A null key refers to nothing. Saying that the rest is not null spares a test on the join key, as above.
+    return rows.filter("_e.text is not null").select(
+        *COORDS, *carry, "_e.kind_rank", "_e.field_rank", "_e.field", F.expr("coalesce(_e.text, '')").alias("ref_id")
+    )

@@ -50,16 +50,11 @@ def float_sql(number: str) -> str:
         if(abs({power}) < 10, '0', ''), abs({power})) end"""
 
 
-def leaf_sql(value: str) -> str:
-    """Text of a VARIANT as Python's ``str`` gives it; objects and lists become JSON text.
-
-    A JSON number with a fraction arrives as a decimal without trailing zeros; an integer beyond 64 bits does too.
-    """
+def _rare_leaf_sql(value: str) -> str:
+    # A JSON number with a fraction arrives as a decimal without trailing zeros; an integer beyond 64 bits does too.
     text, number = f"try_variant_get({value}, '$', 'string')", f"try_variant_get({value}, '$', 'double')"
     whole = f"not contains({text}, '.')"
     return f"""case schema_of_variant({value})
-      when 'STRING' then {text}
-      when 'BIGINT' then {text}
       when 'BOOLEAN' then initcap({text})
       when 'VOID' then 'None'
       when 'DOUBLE' then {float_sql(number)}
@@ -71,6 +66,17 @@ def leaf_sql(value: str) -> str:
       end"""
 
 
+def leaf_sql(value: str) -> str:
+    """Text of a VARIANT as Python's ``str`` gives it; objects and lists become JSON text.
+
+    Texts and whole numbers are the hot case. The other kinds sit in a lambda, which keeps them out of the generated
+    code of the stage (a method that grows too long is never compiled by the JVM).
+    """
+    text = f"try_variant_get({value}, '$', 'string')"
+    rare = f"transform(array({value}), rare -> {_rare_leaf_sql('rare')})[0]"
+    return f"case schema_of_variant({value}) when 'STRING' then {text} when 'BIGINT' then {text} else {rare} end"
+
+
 def leaf_text(value: str) -> Column:
     return F.expr(leaf_sql(value))
 
@@ -133,11 +139,25 @@ def path_equals(value: str, path: str, key: str) -> Column:
     return F.expr(f"coalesce({same}, false)")
 
 
+def _needles(key: str) -> list[str] | None:
+    """Texts of which a JSON payload without escapes holds at least one when a leaf reads ``key``; None if unknown."""
+    if is_plain_text(key):
+        return [key]
+    word = {"True": "true", "False": "false", "None": "null"}.get(key)
+    if word:
+        return [key, word]
+    # A whole number is written with just these digits; a float has many spellings.
+    return [key] if re.fullmatch(r"-?[0-9]+", key) else None
+
+
 def payload_may_hold(payload: str, key: str) -> Column:
-    """Cheap necessary test on the raw bytes for a JSON string equal to ``key``.
+    """Cheap necessary test on the raw bytes for a JSON leaf that reads ``key``.
 
     A JSON string holds its characters as they are unless the text has a backslash, so a payload with neither the key
     nor a backslash cannot match and need not be parsed.
     """
+    needles = _needles(key)
+    if needles is None:
+        return F.lit(True)
     text = f"cast({payload} as string)"
-    return F.expr(f"contains({text}, {quote(key)}) or contains({text}, '\\\\')")
+    return F.expr(" or ".join(f"contains({text}, {quote(n)})" for n in [*needles, "\\"]))

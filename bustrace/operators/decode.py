@@ -127,24 +127,22 @@ def decode(
         df = _add_framed(df, schemas, {**COMPILERS, **(decoders or {})}, snapshot_bytes)
         text = f"if({framed}, _body.text, {text})"
         failure, key_value = f"if({framed}, _body.error, null)", "try_parse_json(_key_body.text)"
-    # The parsed document comes out of a generator: a filter on the value then works on the parsed form, instead of
-    # being pushed below it together with copies of the parse.
     closed = f"try_parse_json(concat('[', {text}, {quote(f',"{_END}"]')}))"
-    df = df.select("*", F.expr(f"explode(array({closed}))").alias("_doc"))
     whole = f"try_variant_get(_doc, '$[1]', 'string') = {quote(_END)}"
-    df = df.withColumn("_value", F.expr(f"if({whole}, try_variant_get(_doc, '$[0]', 'variant'), null)"))
     start = "trim(leading '\\uFEFF \\t\\r\\n' from cast(raw as string))"
     is_object = f"({framed} or startswith(cast(raw as string), '{{') or startswith({start}, '{{'))"
-    df = df.withColumn(
-        "decode_status",
-        F.expr(
-            "case when length(raw) = 0 then 'empty' when _value is null then 'error'"
-            f" when {is_object} then 'ok' else 'non_object' end"
-        ),
+    status = (
+        "case when length(raw) = 0 then 'empty' when _value is null then 'error'"
+        f" when {is_object} then 'ok' else 'non_object' end"
     )
+    # One projection per step, so that each is computed once. The value comes out of a generator: a filter on it then
+    # stays above, instead of being pushed below together with copies of the parse.
+    df = df.withColumn("_doc", F.expr(closed))
+    df = df.withColumn("_value", F.expr(f"if({whole}, try_variant_get(_doc, '$[0]', 'variant'), null)"))
+    df = df.withColumn("decode_status", F.expr(status))
+    df = df.select("*", F.expr("explode(array(if(decode_status = 'ok', _value, null)))").alias("value"))
     return df.withColumns(
         {
-            "value": F.expr("if(decode_status = 'ok', _value, null)"),
             "decode_error": F.expr(f"if(decode_status = 'error', coalesce({failure}, 'json decode failed'), null)"),
             "key_decoded": F.expr(key_value),
             "schema_id": ids,

@@ -21,23 +21,39 @@ def header_text_sql(value: str) -> str:
 def header_map_sql(headers: str) -> str:
     """Headers as a map; of a repeated name the last one counts, a null array is an empty map."""
     given = f"coalesce({headers}, cast(array() as {HEADERS_TYPE}))"
-    names = f"transform({given}, h -> h.key)"
-    pairs = f"transform({given}, h -> struct(h.key as key, {header_text_sql('h.value')} as value))"
-    last_ones = f"filter({pairs}, (p, i) -> not array_contains(slice({names}, i + 2, size({names})), p.key))"
-    return f"map_from_entries(if(size(array_distinct({names})) = size({names}), {pairs}, {last_ones}))"
+    names = f"{given}.key"
+    last_ones = f"filter({given}, (h, i) -> not array_contains(slice({names}, i + 2, size({names})), h.key))"
+    once = f"if(size(array_distinct({names})) = size({names}), {given}, {last_ones})"
+    return f"map_from_entries(transform({once}, h -> struct(h.key as key, {header_text_sql('h.value')} as value)))"
 
 
-def normalize(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Column expressions only, so it also runs on a stream; ``keep`` names further columns to carry along."""
+def opened(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Raw rows with the payload under its message name, ``raw`` (never null), and the key bytes as ``raw_key``."""
     return raw.selectExpr(
         "topic",
         "partition",
         "offset",
-        f"{utf8_sql('key')} as key",
-        f"{header_map_sql('headers')} as headers",
-        f"if({HAS_EVENT_TIME}, timestamp, null) as timestamp_utc",
-        f"not ({HAS_EVENT_TIME} and timestampType = {CREATE_TIME}) as timestamp_fallback",
+        "headers",
+        "timestamp",
+        "timestampType",
         "coalesce(value, X'') as raw",
         "key as raw_key",
         *(keep or []),
     )
+
+
+def with_texts(rows: DataFrame) -> DataFrame:
+    """Opened rows, decoded or not, with key text, header map and event time in place of their raw forms."""
+    raw_columns = ("headers", "timestamp", "timestampType")
+    return rows.selectExpr(
+        f"{utf8_sql('raw_key')} as key",
+        f"{header_map_sql('headers')} as headers",
+        f"if({HAS_EVENT_TIME}, timestamp, null) as timestamp_utc",
+        f"not ({HAS_EVENT_TIME} and timestampType = {CREATE_TIME}) as timestamp_fallback",
+        *[c for c in rows.columns if c not in raw_columns],
+    )
+
+
+def normalize(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Column expressions only, so it also runs on a stream; ``keep`` names further columns to carry along."""
+    return with_texts(opened(raw, keep))

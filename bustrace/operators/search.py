@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from bustrace.functions.evidence import with_evidence
 from bustrace.functions.framing import framed_sql
-from bustrace.functions.text import child_sql, is_plain_text, leaf_text, path_equals, payload_may_hold, utf8_text
+from bustrace.functions.text import child_sql, leaf_text, path_equals, payload_may_hold, utf8_text
 from bustrace.model import DEFAULT_LIMIT
 from bustrace.operators.decode import decode
-from bustrace.operators.normalize import normalize
+from bustrace.operators.normalize import normalize, opened, with_texts
 from bustrace.operators.offsets import scan_bounds, within_bounds
 from bustrace.operators.predicates import header_value, headers_equal, in_topics, in_window, key_equals, not_after, nothing
 from bustrace.session import broadcast_if_small
@@ -58,12 +58,9 @@ def match_messages(
     if kind == "header" and ":" in key_field:
         return enrich(pick(rows.filter(F.coalesce(header_value(name) == key, F.lit(False)))), **decoding)
     if kind == "value" and ":" in key_field and decoding.get("registry", True):
-        if is_plain_text(key):
-            may_hold = payload_may_hold("value", key)
-            framed = F.expr(framed_sql("value")) if decoding.get("schemas") is not None else F.lit(False)
-            rows = rows.filter(may_hold | framed)
-        decoded = decode(normalize(rows), **decoding)
-        return with_evidence(pick(decoded.filter(path_equals("value", name, key))))
+        framed = F.expr(framed_sql("value")) if decoding.get("schemas") is not None else F.lit(False)
+        decoded = decode(opened(rows.filter(payload_may_hold("value", key) | framed)), **decoding)
+        return with_evidence(with_texts(pick(decoded.filter(path_equals("value", name, key)))))
     return enrich(rows.filter(nothing()), **decoding)
 
 
@@ -127,7 +124,7 @@ def _with_key_text(rows: DataFrame, key_field: str | None, decoding: dict) -> tu
     if kind == "value" and ":" in key_field:
         # The generator keeps the null test of the join from repeating the leaf expression below.
         found = F.expr(f"explode(array({child_sql('value', name.split('.'))}))")
-        leaf = decode(normalize(rows), **decoding).select("*", found.alias("_leaf"))
+        leaf = decode(opened(rows), **decoding).select("*", found.alias("_leaf"))
         return leaf.withColumn("search_key", leaf_text("_leaf")).drop("_leaf"), True
     return rows.withColumn("search_key", F.lit(None).cast("string")), False
 
@@ -169,7 +166,7 @@ def search_many(
     if limit_per_key is not None:
         hits = first_per_key(hits, "search_key", [topic_position(topics), F.col("partition"), F.col("offset")], limit_per_key)
     if decoded:
-        return with_evidence(hits)
+        return with_evidence(with_texts(hits))
     return with_evidence(decode(normalize(hits, keep=["search_key"]), **decoding))
 
 

@@ -38,7 +38,8 @@ def _first_ids(carriers: DataFrame, order: list[str]) -> DataFrame:
 
     ``min_by`` aggregates partially, so an id held by very many messages is reduced before the shuffle.
     """
-    rows = carriers.select(*order, "correlation_chain", "correlation_details", F.explode("ids").alias("_i"))
+    rows = carriers.select(*order, "correlation_chain", "correlation_details", F.explode_outer("ids").alias("_i"))
+    rows = rows.filter("_i is not null")
     rank = F.struct(*order, "_i.method_rank", "_i.method")
     kept = F.struct("_i.method", F.col("correlation_chain").alias("chain"), F.col("correlation_details").alias("details"))
     return rows.groupBy(F.col("_i.id").alias("ref_id")).agg(F.min_by(kept, rank).alias("_k")).select("ref_id", "_k.*")

@@ -307,8 +307,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "search_many_top": _with(
             f"select {_FLAT}, search_key from (select m.*, 'SUP-' || s_suppkey as search_key, row_number() over"
-            ' (partition by s_suppkey order by "partition", "offset") as n from m_shipments m'
-            " join supplier on regexp_extract(value_json, 'SUP-([0-9]+)', 1) = s_suppkey::varchar where m.topic = 'shipments') where n <= 3"
+            ' (partition by s_suppkey order by "partition", "offset") as n from plain m'
+            " join supplier on regexp_extract(value_json, 'SUP-([0-9]+)', 1) = s_suppkey::varchar"
+            " where m.topic = 'shipments') where n <= 3"
         ),
         "scan_partition": _flat("plain", "topic = 'activity' and \"key\" = 'USR-7'"),
         "search_report": _with(f"select {_report()} from plain where topic = 'activity' and \"key\" = 'USR-7'"),
