@@ -150,14 +150,14 @@ def _needles(key: str) -> list[str] | None:
     return [key] if re.fullmatch(r"-?[0-9]+", key) else None
 
 
-def payload_may_hold(payload: str, key: str) -> Column:
-    """Cheap necessary test on the raw bytes for a JSON leaf that reads ``key``.
+def payload_may_hold(payload: str, *keys: str) -> Column:
+    """Cheap necessary test on the raw bytes for a JSON leaf that reads one of ``keys``.
 
     A JSON string holds its characters as they are unless the text has a backslash, so a payload with neither the key
     nor a backslash cannot match and need not be parsed.
     """
-    needles = _needles(key)
-    if needles is None:
+    needles = [_needles(key) for key in keys]
+    if None in needles:
         return F.lit(True)
     text = f"cast({payload} as string)"
-    return F.expr(" or ".join(f"contains({text}, {quote(n)})" for n in [*needles, "\\"]))
+    return F.expr(" or ".join(f"contains({text}, {quote(n)})" for n in [*sum(needles, []), "\\"]))

@@ -100,12 +100,12 @@ def scan_bounds(raw: DataFrame, time_from: datetime | None = None, max_scan: int
     offset range (partial aggregation) finds the range in which the cap falls, and only the rows of that range are
     ranked. The result, one row per partition, is stored.
     """
+    start = F.min("offset")
     if time_from is not None:
-        starts = offsets_for_times(raw, time_from).select(*PARTITION, F.col("start_offset").alias("start"))
-    else:
-        starts = raw.groupBy(*PARTITION).agg(F.min("offset").alias("start"))
-    ends = raw.groupBy(*PARTITION).agg((F.max("offset") + 1).alias("stop"))
-    whole = store(starts.join(ends, PARTITION), "scan-start")
+        late_enough = F.expr(HAS_EVENT_TIME) & (F.col("timestamp") >= F.lit(as_utc(time_from)))
+        start = F.coalesce(F.min(F.when(late_enough, F.col("offset"))), start)
+    ends = raw.groupBy(*PARTITION).agg(start.alias("start"), (F.max("offset") + 1).alias("stop"))
+    whole = store(ends, "scan-ends")
     if max_scan is None:
         return whole
     width = F.ceil((F.col("stop") - F.col("start")) / RANGES_PER_PARTITION)

@@ -9,7 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bustrace.functions.params import as_utc
-from bustrace.functions.text import quote, utf8_text
+from bustrace.functions.framing import framed_sql
+from bustrace.functions.text import payload_may_hold, quote, utf8_text
 from bustrace.model import INTERNAL_PREFIX
 from bustrace.operators.normalize import HAS_EVENT_TIME, header_text_sql
 
@@ -79,3 +80,16 @@ def in_window(time_from: datetime | None, time_to: datetime | None) -> Column:
 def not_after(now: datetime) -> Column:
     """The default upper bound: before now, or without an event time."""
     return (F.col("timestamp") < _moment(now)) | ~F.expr(HAS_EVENT_TIME)
+
+
+def may_refer_to(ids: list[str], framed: bool) -> Column:
+    """Necessary test on a raw row for a reference to one of a few ids, by key, header or JSON payload.
+
+    ``framed``: binary bodies are decoded too, and cannot be told from their bytes.
+    """
+    if any(i == "None" or "\ufffd" in i for i in ids):  # may stem from a null header or from repaired bytes
+        return F.lit(True)
+    exact = [F.lit(bytearray(i.encode("utf-8"))) for i in ids]
+    by_header = F.coalesce(F.exists("headers", lambda h: h["value"].isin(*exact)), F.lit(False))
+    by_value = payload_may_hold("value", *ids) | (F.expr(framed_sql("value")) if framed else F.lit(False))
+    return F.coalesce(F.col("key").isin(*exact), F.lit(False)) | by_header | F.coalesce(by_value, F.lit(False))

@@ -12,9 +12,10 @@ from bustrace.functions.text import iso_text
 from bustrace.model import COORDS, DEFAULT_LIMIT, DETAIL_TYPE, ID_FIELDS, SOURCE_FIELDS
 from bustrace.operators.decode import decode
 from bustrace.operators.normalize import normalize
+from bustrace.operators.predicates import may_refer_to
 from bustrace.operators.search import topic_position
 
-# Columns of a decoded message that a hit carries along when it is not joined back.
+# Columns of a decoded message that a reference takes along when its message is not joined back.
 _DECODED = [
     "key", "headers", "timestamp_utc", "timestamp_fallback", "raw", "raw_key",
     "value", "decode_status", "decode_error", "key_decoded", "schema_id",
@@ -22,6 +23,9 @@ _DECODED = [
 
 _TRACE = ["correlation_chain", "correlation_details", "correlation_level"]
 
+# Up to so many ids, rows that cannot refer to any of them are dropped before they are decoded.
+FEW_IDS = 32
+
 
 def _no_trace(messages: DataFrame) -> DataFrame:
     return messages.withColumns(
@@ -53,10 +57,10 @@ def _frontier(ids: DataFrame, max_breadth: int | None) -> tuple[DataFrame, int,
     return stored, *session.measure(stored)
 
 
-def _discover(refs: DataFrame, frontier: DataFrame, size: int, keep: list[str], backward: int) -> DataFrame:
+def _discover(refs: DataFrame, frontier: DataFrame, size: int, backward: int) -> DataFrame:
     """Messages found by the frontier, each once, by the first (id, kind of field) that finds it."""
     found = refs.join(session.broadcast_if_small(frontier, size), "ref_id")
-    columns = ["ref_id", "kind_rank", "field_rank", "field", "method", "chain", "details", *keep]
+    columns = [c for c in found.columns if c not in COORDS]
     rank = F.struct("ref_id", "kind_rank", "field_rank")
     first = found.groupBy(*COORDS).agg(F.min_by(F.struct(*columns), rank).alias("_first")).select(*COORDS, "_first.*")
     is_backward = F.col("kind_rank") == backward
@@ -97,7 +101,7 @@ def correlate(
     hits by hop, id, kind of field and scan order, and sorts the result by time; ``None`` gives the whole result as an
     unordered table. Adds ``correlation_chain``, ``correlation_details`` and ``correlation_level``.
 
-    Seeds, frontiers and the hits of a hop that is followed further are stored in the shared folder.
+    Seeds, frontiers and the messages of a hop that is followed further are stored in the shared folder.
     """
     for name, bound in (("max_depth", max_depth), ("max_breadth", max_breadth)):
         if bound is not None and bound < 1:
@@ -123,33 +127,43 @@ def correlate(
     def identified(messages: DataFrame) -> DataFrame:
         return with_identifiers(messages, regex_patterns, jsonpath_expressions, id_fields)
 
+    def messages_found(frontier: DataFrame, ids: int, size: int, last: bool) -> DataFrame:
+        """Full messages of the follow topics that the frontier finds and that are not seen yet."""
+        rows = follow
+        if ids <= FEW_IDS:
+            few = [r["ref_id"] for r in frontier.select("ref_id").collect()]  # at most FEW_IDS
+            rows = follow.filter(may_refer_to(few, decoding.get("schemas") is not None))
+        # A frontier that can be broadcast takes the payload along in the one scan. Otherwise narrow references are
+        # shuffled, and the payload of what they find is joined back.
+        carried = size <= session.BROADCAST_BYTES
+        decoded = decode(normalize(rows), **decoding)
+        refs = references(decoded, _DECODED if carried else ["timestamp_utc"], bidirectional, id_fields, source_fields)
+        new = _discover(refs, frontier, size, backward).join(seen, COORDS, "left_anti")
+        new = new.withColumn("topic_pos", topic_position(follow_topics))
+        if not carried:
+            if last and room is not None:
+                new = new.orderBy(*order).limit(room)
+            trace = [*_TRACE[:2], *order[:4]]
+            new = follow.join(session.store(new.select(*COORDS, *trace), "hits"), COORDS)
+            new = decode(normalize(new, keep=trace), **decoding)
+        return with_evidence(new)
+
     frontier, n, size = _frontier(_first_ids(identified(seeds), []), max_breadth)
     followed, seen = frontier.select("ref_id"), seeds.select(*COORDS)
     depth, backward = max_depth or 1, backward_rank(id_fields)
     follow = raw.filter(F.col("topic").isin(*follow_topics))
-    # Hits of a single hop with a small frontier come out of one scan with their payload. Otherwise references stay
-    # narrow, for the shuffle or for reuse over hops, and payloads are joined back at the end.
-    one_scan = depth == 1 and size <= session.BROADCAST_BYTES
-    decoded = decode(normalize(follow), **decoding)
-    if depth == 1:
-        keep = _DECODED if one_scan else ["timestamp_utc"]
-        refs = references(decoded, keep, bidirectional, id_fields, source_fields)
-    else:
-        keep = ["timestamp_utc", "ids"]
-        refs = references(identified(with_evidence(decoded)), keep, bidirectional, id_fields, source_fields)
-        refs = session.store(refs, "references")
-
     order = ["ref_id", "kind_rank", "topic_pos", "field_rank", "partition", "offset"]
-    hits = None
+    hits, total = None, 0
     for level in range(1, depth + 1):
         if n == 0:
             break
-        new = _discover(refs, frontier, size, keep, backward).join(seen, COORDS, "left_anti")
-        new = new.withColumns({"topic_pos": topic_position(follow_topics), "correlation_level": F.lit(level)})
-        if depth > 1:
-            new = session.store(new, "hits")
-        hits = new if hits is None else hits.unionByName(new)
-        if level == depth or (room is not None and hits.count() >= room):
+        last = level == depth
+        new = messages_found(frontier, n, size, last).withColumn("correlation_level", F.lit(level))
+        if not last:
+            new = session.store(identified(new), "hits")
+            total += new.count()
+        hits = new if hits is None else hits.unionByName(new, allowMissingColumns=True)
+        if last or (room is not None and total >= room):
             break
         seen = seen.unionByName(new.select(*COORDS))
         ids = _first_ids(new, order).join(followed, "ref_id", "left_anti")
@@ -160,13 +174,7 @@ def correlate(
     else:
         if room is not None:
             hits = hits.orderBy("correlation_level", *order).limit(room)
-        if one_scan:
-            messages = with_evidence(hits).drop(*order[:4])
-        else:
-            found = session.store(hits.select(*COORDS, *_TRACE), "found")
-            rows = follow.join(found, COORDS)
-            messages = with_evidence(decode(normalize(rows, keep=_TRACE), **decoding))
-        result = seeds_kept.unionByName(messages, allowMissingColumns=True)
+        result = seeds_kept.unionByName(hits.drop("ids", *order[:4]), allowMissingColumns=True)
     if limit is None:
         return result
     return result.orderBy("timestamp_utc", "correlation_level", topic_position(follow_topics), "partition", "offset")
