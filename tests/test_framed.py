@@ -1,0 +1,128 @@
+"""Framed Avro and Protobuf payloads, with both ways to reach the schema."""
+
+import json
+import struct
+
+import pytest
+from conftest import message
+from google.protobuf import descriptor_pb2
+from pyspark.sql import functions as F
+
+import bustrace as b
+from bustrace.model import SCHEMAS_SCHEMA
+from bustrace.operators.wire import compile_avro, message_index
+
+ORDER = json.dumps(
+    {
+        "type": "record",
+        "name": "TestOrder",
+        "fields": [{"name": n, "type": t} for n, t in [("order_id", "string"), ("amount", "int"), ("customer_id", "string")]],
+    }
+)
+
+
+def order_descriptors():
+    file = descriptor_pb2.FileDescriptorProto(name="order.proto", syntax="proto3")
+    kind = descriptor_pb2.FieldDescriptorProto
+    payload = file.message_type.add(name="Payload")
+    payload.field.add(name="order_id", number=1, type=kind.TYPE_INT64, label=1)
+    payload.field.add(name="product_name", number=2, type=kind.TYPE_STRING, label=1)
+    order = file.message_type.add(name="Order")
+    order.field.add(name="customer_id", number=1, type=kind.TYPE_INT64, label=1)
+    order.field.add(name="payload", number=2, type=kind.TYPE_MESSAGE, type_name=".Payload", label=1)
+    inner = order.nested_type.add(name="Inner")
+    inner.field.add(name="name", number=1, type=kind.TYPE_STRING, label=1)
+    return descriptor_pb2.FileDescriptorSet(file=[file]).SerializeToString()
+
+
+def varint(n):
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def frame(schema_id, body):
+    return b"\0" + struct.pack(">I", schema_id) + body
+
+
+@pytest.fixture(scope="module")
+def schemas(spark):
+    rows = [(1, "AVRO", ORDER, None), (2, None, ORDER, None), (3, "PROTOBUF", None, order_descriptors())]
+    rows += [(4, "JSON", "{}", None), (5, "AVRO", '"string"', None), (6, "PROTOBUF", "syntax = ...", None)]
+    return spark.createDataFrame(rows, SCHEMAS_SCHEMA)
+
+
+@pytest.mark.parametrize("snapshot_bytes", [1 << 20, 0])
+def test_decode(bus, schemas, snapshot_bytes):
+    avro = b"\x02A\x02\x02B"
+    proto = b"\x01\x01" + b"\x08" + varint(7000000000) + b"\x12" + bytes([len(varint(9000000001)) + 1]) + b"\x08" + varint(9000000001)
+    raw = bus(
+        message("t", 0, frame(1, avro), key=frame(2, avro)),
+        message("t", 1, frame(2, avro), key="plain"),
+        message("t", 2, frame(3, proto)),
+        message("t", 3, frame(3, b"\0" + b"\x08\x05")),
+        message("t", 4, frame(3, b"\x02\x01\0" + b"\x0a\x01n")),
+        message("t", 5, frame(4, b"{}")),
+        message("t", 6, frame(9, avro)),
+        message("t", 7, frame(1, b"\x02")),
+        message("t", 8, frame(3, b"\x01\x07")),
+        message("t", 9, frame(5, b"\x02A")),
+        message("t", 10, frame(6, b"\0")),
+        message("t", 11, {"plain": True}, key=frame(9, b"")),
+    )
+    df = b.decode(b.normalize(raw), schemas, snapshot_bytes=snapshot_bytes).orderBy("offset")
+    rows = df.select(F.to_json("value").alias("v"), F.to_json("key_decoded").alias("k"), "decode_error", "schema_id").collect()
+    assert rows[0]["v"] == '{"amount":1,"customer_id":"B","order_id":"A"}' == rows[0]["k"] == rows[1]["v"]
+    assert rows[0]["schema_id"].asDict() == {"value": 1, "key": 2} and rows[1]["schema_id"].asDict() == {"value": 2, "key": None}
+    assert rows[1]["k"] is None
+    assert json.loads(rows[2]["v"]) == {"customer_id": "7000000000", "payload": {"order_id": "9000000001"}}
+    assert rows[3]["v"] == '{"order_id":"5"}' and rows[4]["v"] == '{"name":"n"}'
+    assert rows[5]["decode_error"] == "unknown schema type: JSON" and rows[6]["decode_error"] == "schema 9 not found"
+    for i, part in [(7, "avro decode failed"), (8, "out of range"), (9, "not a record"), (10, "descriptor set")]:
+        assert part in rows[i]["decode_error"] and rows[i]["v"] is None
+    assert rows[11]["v"] == '{"plain":true}' and rows[11]["k"] is None and rows[11]["schema_id"].asDict() == {"value": None, "key": 9}
+
+
+def test_search_reaches_framed_values(bus, schemas):
+    proto = b"\x01\x01" + b"\x08" + varint(7000000000) + b"\x12\x06\x08" + varint(9000000001)
+    raw = bus(message("t", 0, frame(3, proto)), message("t", 1, {"payload": {"order_id": "9000000001"}}), message("t", 2, "{}"))
+    found = b.search_messages(raw, "9000000001", key_field="value:payload.order_id", schemas=schemas)
+    assert [r["offset"] for r in found.collect()] == [0, 1]
+
+
+def test_custom_decoder(bus, schemas):
+    raw = bus(message("t", 0, frame(4, b'{"a":1}')))
+    df = b.decode(b.normalize(raw), schemas, decoders={"JSON": lambda text, descriptors: json.loads})
+    assert df.select(F.to_json("value")).first()[0] == '{"a":1}'
+
+
+def test_avro_types():
+    schema = {
+        "type": "record", "name": "R", "namespace": "n",
+        "fields": [
+            {"name": "u", "type": ["null", "string", "n.E"]},
+            {"name": "e", "type": {"type": "enum", "name": "E", "symbols": ["A", "B"]}},
+            {"name": "f", "type": {"type": "fixed", "name": "F", "size": 2}},
+            {"name": "a", "type": {"type": "array", "items": "long"}},
+            {"name": "m", "type": {"type": "map", "values": "boolean"}},
+            {"name": "d", "type": "double"}, {"name": "g", "type": "float"}, {"name": "b", "type": "bytes"},
+            {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+            {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+            {"name": "dec", "type": {"type": "bytes", "logicalType": "decimal", "scale": 2}},
+            {"name": "next", "type": ["null", "R"]},
+        ],
+    }
+    tail = struct.pack("<d", 1.5) + struct.pack("<f", float("nan")) + b"\x02z" + b"\x02" + b"\xd0\x0f" + b"\x02\x7b"
+    body = b"\x04\x02" + b"\x02" + b"xy" + b"\x03\x04\x01\x02\x00" + b"\x02\x02k\x01\x00" + tail
+    value = compile_avro(json.dumps(schema), None)(body + b"\x02" + b"\x00" + body[2:] + b"\x00")
+    assert value["u"] == "B" and value["next"]["u"] is None and value["next"]["next"] is None
+    assert (value["e"], value["f"], value["a"], value["m"], value["d"], value["g"]) == ("B", b"xy", [-1, 1], {"k": True}, 1.5, "nan")
+    assert [str(value[c]) for c in ("day", "at", "dec")] == ["1970-01-02", "1970-01-01 00:00:01+00:00", "1.23"]
+
+
+def test_message_index():
+    assert message_index(b"") == ([0], b"") and message_index(b"\0ab") == ([0], b"ab")
+    assert message_index(b"\x02\x01\x00x") == ([1, 0], b"x")
+    with pytest.raises(ValueError):
+        message_index(b"\x80")
