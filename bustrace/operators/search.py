@@ -33,6 +33,15 @@ def topic_position(topics: list[str] | None) -> Column:
     return F.array_position(F.array(*[F.lit(t) for t in topics]), F.col("topic"))
 
 
+def first_rows(rows: DataFrame, order: list, n: int) -> DataFrame:
+    """The first ``n`` rows in an order, kept per task and merged, never sorted as a whole.
+
+    The result is one partition anyway; naming it keeps later projections from being moved between sort and limit,
+    which would turn the top-n into a global sort.
+    """
+    return rows.orderBy(*order).limit(n).coalesce(1)
+
+
 def match_messages(
     raw: DataFrame,
     key: str,
@@ -98,7 +107,7 @@ def search_messages(
     order = [topic_position(topics), F.col("partition"), F.col("offset")]
 
     def pick(rows: DataFrame) -> DataFrame:
-        return rows if limit is None else rows.orderBy(*order).limit(limit)
+        return rows if limit is None else first_rows(rows, order, limit)
 
     found = match_messages(
         scope,

@@ -13,7 +13,7 @@ from bustrace.model import COORDS, DEFAULT_LIMIT, DETAIL_TYPE, ID_FIELDS, SOURCE
 from bustrace.operators.decode import decode
 from bustrace.operators.normalize import normalize
 from bustrace.operators.predicates import may_refer_to
-from bustrace.operators.search import topic_position
+from bustrace.operators.search import first_rows, topic_position
 
 # Columns of a decoded message that a reference takes along when its message is not joined back.
 _DECODED = [
@@ -52,7 +52,7 @@ def _first_ids(carriers: DataFrame, order: list[str]) -> DataFrame:
 def _frontier(ids: DataFrame, max_breadth: int | None) -> tuple[DataFrame, int, int]:
     """Stored ids to follow next, at most ``max_breadth`` in id order, with their measured rows and bytes."""
     if max_breadth is not None:
-        ids = ids.orderBy("ref_id").limit(max_breadth)
+        ids = first_rows(ids, ["ref_id"], max_breadth)
     stored = session.store(ids, "frontier")
     return stored, *session.measure(stored)
 
@@ -112,13 +112,13 @@ def correlate(
     if limit is not None and limit <= 0:
         return _no_trace(seeds.limit(0)).drop("seed_pos")
     if not follow_topics:
-        kept = seeds if limit is None else seeds.orderBy(*position).limit(limit)
+        kept = seeds if limit is None else first_rows(seeds, position, limit)
         return _no_trace(kept).drop("seed_pos")
 
     seeds = _no_trace(session.store(seeds, "seeds"))
     room = None if limit is None else limit - seeds.count()
     if room is not None:
-        seeds_kept = seeds.orderBy("timestamp_utc", *position).limit(limit).drop("seed_pos")
+        seeds_kept = first_rows(seeds, ["timestamp_utc", *position], limit).drop("seed_pos")
         if room <= 0:
             return seeds_kept.orderBy("timestamp_utc", *COORDS)
     else:
@@ -142,7 +142,7 @@ def correlate(
         new = new.withColumn("topic_pos", topic_position(follow_topics))
         if not carried:
             if last and room is not None:
-                new = new.orderBy(*order).limit(room)
+                new = first_rows(new, order, room)
             trace = [*_TRACE[:2], *order[:4]]
             new = follow.join(session.store(new.select(*COORDS, *trace), "hits"), COORDS)
             new = decode(normalize(new, keep=trace), **decoding)
@@ -173,11 +173,13 @@ def correlate(
         result = seeds_kept
     else:
         if room is not None:
-            hits = hits.orderBy("correlation_level", *order).limit(room)
+            hits = first_rows(hits, ["correlation_level", *order], room)
         result = seeds_kept.unionByName(hits.drop("ids", *order[:4]), allowMissingColumns=True)
     if limit is None:
         return result
-    return result.orderBy("timestamp_utc", "correlation_level", topic_position(follow_topics), "partition", "offset")
+    # At most ``limit`` rows by now: sorted in one place, without an exchange by range.
+    order = ["timestamp_utc", "correlation_level", topic_position(follow_topics), "partition", "offset"]
+    return result.coalesce(1).orderBy(*order)
 
 
 def correlation_summary(correlated: DataFrame) -> DataFrame:

@@ -160,3 +160,9 @@ def test_filters_reach_the_scan(spark, raw, tmp_path):
     plan = value._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Contains(") > plan.index("parseJson") if "Contains(" in plan else "contains" in plan.lower()
     assert plan.count("parseJson") == 1
+
+
+def test_limited_results_are_not_sorted_as_a_whole(raw):
+    for field in (None, "header:h", "value:order_id"):
+        plan = b.search_messages(raw, "O1", key_field=field)._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
