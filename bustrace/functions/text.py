@@ -142,10 +142,10 @@ def path_equals(value: str, path: str, key: str) -> Column:
 def _needles(key: str) -> list[str] | None:
     """Texts of which a JSON payload without escapes holds at least one when a leaf reads ``key``; None if unknown."""
     if is_plain_text(key):
-        return [key]
+        return [f'"{key}"']
     word = {"True": "true", "False": "false", "None": "null"}.get(key)
     if word:
-        return [key, word]
+        return [f'"{key}"', word]
     # A whole number is written with just these digits; a float has many spellings.
     return [key] if re.fullmatch(r"-?[0-9]+", key) else None
 
@@ -153,8 +153,8 @@ def _needles(key: str) -> list[str] | None:
 def payload_may_hold(payload: str, *keys: str) -> Column:
     """Cheap necessary test on the raw bytes for a JSON leaf that reads one of ``keys``.
 
-    A JSON string holds its characters as they are unless the text has a backslash, so a payload with neither the key
-    nor a backslash cannot match and need not be parsed.
+    A JSON string holds its characters as they are unless the text has a backslash, so a payload with neither the
+    quoted key nor a backslash cannot match and need not be parsed.
     """
     needles = [_needles(key) for key in keys]
     if None in needles:
