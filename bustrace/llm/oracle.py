@@ -75,3 +75,26 @@ select doc_id, size, source_size::bigint as source_size, target,
   (whole * size + greatest(0, least(size, missing - until)))::bigint as taken
 from e
 """
+
+_SQL["op8_minhash_near_dedup"] = r"""
+with recursive t as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as materialized (
+  select distinct doc_id, array_to_string(w[i:i + 3], ' ') as shingle
+  from t, lateral (select unnest(range(1, greatest(1, len(w) - 3) + 1)) as i) where len(w) > 0),
+n as materialized (select doc_id, count(*) as n from s group by doc_id),
+inter as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from s as a join s as b on a.shingle = b.shingle and a.doc_id < b.doc_id
+  group by all),
+links as materialized (
+  select a, b from inter join n as x on x.doc_id = a join n as y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+reach(node, least) as (
+  select doc_id, doc_id from documents
+  union
+  select case when l.a = r.node then l.b else l.a end, r.least from reach r join links l on r.node in (l.a, l.b)),
+c as (select node, min(least) as component_id from reach group by node)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join c on c.node = d.doc_id left join n on n.doc_id = d.doc_id
+"""

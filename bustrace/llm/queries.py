@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bustrace.llm import exact, mixing, sharding, topk
+from bustrace.llm import exact, langid, minhash, mixing, packing, sharding, tokens, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,3 +46,40 @@ def op6_exact_dedup(spark, sf_dir):
 def op7_mix_sources(spark, sf_dir):
     columns = ("doc_id", "size", "source_size", "target", "taken")
     return mixing.mix(table(spark, sf_dir, "documents")).select(*columns)
+
+
+@query
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def remainder(column: str, n: int) -> F.Column:
+    return F.crc32(F.col(column).cast("string")) % n
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.filter(remainder("doc_id", 3) != 1))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    found = langid.predict(docs.select("doc_id", held_out, "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    model = toxicity.learn(docs, labels)
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_groups(table(spark, sf_dir, "documents")).drop("set_id")
