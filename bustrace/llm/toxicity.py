@@ -103,15 +103,16 @@ def learn(
             found = [features(x or "").astype(np.uint32).tobytes() for x in f["__text"]]
             yield pd.DataFrame({"o": f["__order"], "y": f["__toxic"], "w": f["__weight"], "x": found})
 
-    def trained(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("o")
+    def trained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(frames)
+        frame = pd.concat(parts).sort_values("o")
         found = [np.frombuffer(x, np.uint32).astype(np.int64) for x in frame["x"]]
         bucket, weight = train(found, frame["y"].to_numpy(float), frame["w"].to_numpy(float))
-        return pd.DataFrame({"bucket": bucket, "weight": weight})
+        yield pd.DataFrame({"bucket": bucket, "weight": weight})
 
     ready = rows.mapInPandas(featured, "o long, y int, w double, x binary")
     # One task: FTRL goes through the sample row by row, and the sample is bounded.
-    weights = ready.groupBy(F.lit(0)).applyInPandas(trained, "bucket long, weight double").toPandas()  # few, by L1
+    weights = ready.repartition(1).mapInPandas(trained, "bucket long, weight double").toPandas()  # few, by L1
     return weights["bucket"].to_numpy(np.int64), weights["weight"].to_numpy(np.float64)
 
 
