@@ -98,3 +98,50 @@ c as (select node, min(least) as component_id from reach group by node)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
 from documents d join c on c.node = d.doc_id left join n on n.doc_id = d.doc_id
 """
+
+_SQL["op2_tool_call_linking"] = """
+with recursive t as (select *, coalesce(text, '') as x, length(coalesce(text, '')) as size from conversations),
+c as (
+  select conv_id, 'call-' || conv_id || '-' || turn as call_id, turn,
+    case when role <> 'assistant' then 'configure' else (['search', 'compute', 'write'])[turn % 3 + 1] end as name,
+    to_json(x)::varchar as body, size,
+    case when role = 'assistant' and turn >= 2
+      then list_sort(list_distinct(['call-' || conv_id || '-' || (turn // 2), 'call-' || conv_id || '-' || (turn // 3)]))
+      else [] end as needs
+  from t where role <> 'user'),
+r as (select conv_id, 'call-' || conv_id || '-' || (turn - 1) as call_id, turn as result_turn, to_json(x)::varchar as content
+  from t where role = 'user'),
+args as (
+  select *, case name
+      when 'configure' then '{"text":' || body || '}'
+      when 'search' then '{"limit":' || size || ',"query":' || body || '}'
+      when 'compute' then '{"expression":' || body || ',"precision":' || case when size % 2 = 0 then size::varchar else '"high"' end || '}'
+      else '{"body":' || body || case when size % 3 = 0 then '' else ',"path":"notes/"' end || '}' end as arguments,
+    case when name = 'configure' then 'tool' when name = 'compute' and size % 2 = 1 then 'type:precision'
+      when name = 'write' and size % 3 = 0 then 'missing:path' else '' end as errors
+  from c),
+edges as (
+  select n.conv_id, n.call_id, n.need, k.call_id is not null as known
+  from (select conv_id, call_id, unnest(needs) as need from c) n left join c k on k.conv_id = n.conv_id and k.call_id = n.need),
+depth(conv_id, call_id, layer) as (
+  select conv_id, call_id, 0 from c
+  union
+  select e.conv_id, e.call_id, d.layer + 1 from depth d join edges e on e.conv_id = d.conv_id and e.need = d.call_id),
+layers as (select conv_id, call_id, max(layer)::int as layer from depth group by all),
+missing as (select conv_id, call_id, count(*) filter (not known) as n_missing from edges group by all),
+j as (
+  select coalesce(a.conv_id, r.conv_id) as conv_id, coalesce(a.call_id, r.call_id) as call_id, l.layer, a.turn, r.result_turn,
+    case when a.call_id is null then 'orphan' when r.call_id is null then 'unanswered' else 'linked' end as status,
+    ((a.call_id is not null)::int + (r.call_id is not null)::int)::bigint as copies,
+    case when a.call_id is not null then coalesce(m.n_missing, 0) end as n_missing, a.errors = '' as valid, a.errors,
+    '{"arguments":' || coalesce(a.arguments, 'null') || ',"id":"' || coalesce(a.call_id, r.call_id) || '","name":'
+      || coalesce('"' || a.name || '"', 'null') || ',"needs":'
+      || case when a.call_id is null then 'null' else '[' || array_to_string(list_transform(a.needs, lambda n: '"' || n || '"'), ',') || ']' end
+      || ',"result":' || coalesce(r.content, 'null') || '}' as json
+  from args a full join r on a.conv_id = r.conv_id and a.call_id = r.call_id
+  left join layers l on l.conv_id = a.conv_id and l.call_id = a.call_id
+  left join missing m on m.conv_id = a.conv_id and m.call_id = a.call_id)
+select conv_id, call_id, (row_number() over (partition by conv_id order by status = 'orphan', coalesce(layer, 2147483647),
+    coalesce(turn, result_turn), call_id) - 1)::bigint as position, layer, turn, result_turn, status, copies, n_missing, valid, errors, json
+from j
+"""

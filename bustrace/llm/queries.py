@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bustrace.llm import exact, langid, minhash, mixing, packing, sharding, tokens, topk, toxicity
+from bustrace.llm import exact, langid, minhash, mixing, packing, sharding, tokens, toolcalls, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,3 +83,55 @@ def op10_token_counts(spark, sf_dir):
 @query
 def op8_minhash_near_dedup(spark, sf_dir):
     return minhash.near_groups(table(spark, sf_dir, "documents")).drop("set_id")
+
+
+#: What the tools of op2 take. Turns of other roles call a tool that isn't listed.
+TOOLS: toolcalls.Schemas = {
+    "search": {"query": ("string", True), "limit": ("integer", False)},
+    "compute": {"expression": ("string", True), "precision": ("integer", True)},
+    "write": {"body": ("string", True), "path": ("string", True)},
+}
+
+
+def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results that a conversation table stands for: it has no tool calls of its own.
+
+    An assistant's turn calls a tool with its whole text, and needs the results of two earlier turns; any other turn but
+    the user's calls ``configure``. A user's turn is the result of the turn before it.
+    """
+    turn, text = F.col("turn"), F.coalesce("text", F.lit(""))
+    size = F.length(text)
+
+    def call_id(at) -> F.Column:
+        return F.format_string("call-%d-%d", F.col("conv_id"), at)
+
+    arguments = (
+        F.when(F.col("role") != "assistant", F.to_json(F.struct(text.alias("text"))))
+        .when(turn % 3 == 0, F.to_json(F.struct(text.alias("query"), size.alias("limit"))))
+        .when(
+            (turn % 3 == 1) & (size % 2 == 0),
+            F.to_json(F.struct(text.alias("expression"), size.alias("precision"))),
+        )
+        .when(turn % 3 == 1, F.to_json(F.struct(text.alias("expression"), F.lit("high").alias("precision"))))
+        .when(size % 3 == 0, F.to_json(F.struct(text.alias("body"))))
+        .otherwise(F.to_json(F.struct(F.lit("notes/").alias("path"), text.alias("body"))))
+    )
+    tools = F.when(turn % 3 == 0, "search").when(turn % 3 == 1, "compute").otherwise("write")
+    earlier = F.array(call_id((turn / 2).cast("long")), call_id((turn / 3).cast("long")))
+    none = F.array().cast("array<string>")
+    calls = turns.filter("role is null or role <> 'user'").select(
+        "conv_id",
+        call_id(turn).alias("call_id"),
+        "turn",
+        F.when(F.col("role") == "assistant", tools).otherwise("configure").alias("name"),
+        arguments.alias("arguments"),
+        F.when((F.col("role") == "assistant") & (turn >= 2), earlier).otherwise(none).alias("needs"),
+    )
+    results = turns.filter("role = 'user'")
+    results = results.select("conv_id", call_id(turn - 1).alias("call_id"), "turn", text.alias("content"))
+    return calls, results
+
+
+@query
+def op2_tool_call_linking(spark, sf_dir):
+    return toolcalls.link_tool_calls(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
