@@ -183,9 +183,11 @@ def learn(training: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and ambiguous."""
-    schema = T.StructType(list(docs.schema)).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+def predict(
+    docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")
+) -> DataFrame:
+    """``docs`` with the predicted language, its score and whether it is ambiguous, in columns of these names."""
+    schema = T.StructType(list(docs.schema)).add(names[0], "string").add(names[1], "double").add(names[2], "boolean")
     place = docs.columns.index(text_col)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,11 +195,17 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             language = np.full(batch.num_rows, UNDETERMINED, object)
             score, unsure = np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
             if model.languages:
-                names = np.array(model.languages, object)
+                known = np.array(model.languages, object)
                 for at, counts in _counted(batch.column(place)):
                     best, score[at], lead = model.decode(counts)
-                    language[at], unsure[at] = names[best], lead < AMBIGUOUS
+                    language[at], unsure[at] = known[best], lead < AMBIGUOUS
             more = [pa.array(language, pa.string()), pa.array(score), pa.array(unsure)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=schema.names)
 
     return docs.mapInArrow(predicted, schema)
+
+
+def drop_undetermined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language, with their columns."""
+    names = ("__lang", "__score", "__ambiguous")
+    return predict(docs, model, text_col, names).filter(F.col("__lang") != UNDETERMINED).drop(*names)

@@ -349,7 +349,7 @@ def _in_parts(rows: DataFrame, links: DataFrame) -> DataFrame:
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """One row per document: id, n_shingles, set_id (its class), component_id, kept."""
+    """One row per document: id, n_shingles, set_id (its class), component_id, kept, and the group's number."""
     rows = store(signatures(docs, id_col, text_col, shingle_words), "minhash-rows")
     classes = rows.filter("n_shingles > 0").groupBy("set_id")
     classes = classes.agg(F.min(id_col).alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
@@ -363,10 +363,43 @@ def near_groups(
     groups = joined.filter("component is not null").groupBy("component").agg(F.min("first_id").alias("least"))
     joined = joined.join(groups, "component", "left")
     least = F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("least"))
-    joined = joined.select("set_id", least.alias("__component"))
+    joined = joined.select("set_id", least.alias("__component"), F.coalesce("component", "node").alias("group"))
     out = rows.drop("sig").join(joined, "set_id", "left")
     component = F.when(F.col("n_shingles") == 0, F.col(id_col)).otherwise(F.col("__component"))
     out = out.withColumn("component_id", component)
-    return out.select(
-        id_col, "n_shingles", F.hex("set_id").alias("set_id"), "component_id", F.col(id_col).eqNullSafe(F.col("component_id")).alias("kept")
+    kept = F.col(id_col).eqNullSafe(F.col("component_id"))
+    return out.select(id_col, "n_shingles", "set_id", "component_id", kept.alias("kept"), "group")
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = SHINGLE_WORDS
+) -> DataFrame:
+    """One row of ``docs`` of each group, and all rows without shingles, with their columns."""
+    groups = near_groups(docs, id_col, text_col, shingle_words=shingle_words).filter("kept")
+    groups = groups.groupBy(F.col(id_col).alias("__id"), F.col("set_id").alias("__set"), F.col("group").alias("__group"))
+    groups = store(groups.agg(F.count(F.lit(1)).alias("__rows")), "minhash-kept")
+    repeated = docs.groupBy(F.col(id_col).alias("__id")).count().filter("count > 1").select("__id")
+    repeated = store(repeated, "minhash-repeated")  # normally empty
+    same = docs[id_col].eqNullSafe(F.col("__id"))
+    if repeated.isEmpty():
+        return docs.join(groups.select("__id"), same, "left_semi")
+    single = docs.join(repeated, same, "left_anti").join(groups.select("__id"), same, "left_semi")
+    several = _with_set_id(docs.join(repeated, same, "left_semi"), text_col, shingle_words)
+    on = several[id_col].eqNullSafe(F.col("__id")) & (F.col("__set_id") == F.col("__set"))
+    several = several.join(groups, on)
+    blank = several.filter("__group is null").select(*docs.columns)
+    return single.unionByName(blank).unionByName(
+        several.filter("__group is not null").dropDuplicates(["__group"]).select(*docs.columns)
     )
+
+
+def _with_set_id(docs: DataFrame, text_col: str, size: int) -> DataFrame:
+    schema = T.StructType(list(docs.schema)).add("__set_id", "binary")
+    at = docs.columns.index(text_col)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [_set_id(shingle_set(x.as_py(), size)) for x in _lowered(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=schema.names)
+
+    return docs.mapInArrow(named, schema)

@@ -114,3 +114,20 @@ def mix(
     out = out.withColumn("part", F.when(full, F.lit(0)).otherwise(F.col("__extra")).cast("long"))
     taken = F.col("whole") * F.col("size") + F.col("part")
     return out.select(id_col, "source", "size", "source_size", "target", "whole", "part", taken.alias("taken"))
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """``docs`` as the mix takes them: a row per whole repetition, and one with the first words for an incomplete one."""
+    plan = mix(docs, id_col, text_col, source_col, **options).dropDuplicates([id_col, "source", "size"])
+    plan = plan.select(id_col, "source", "size", "whole", "part").filter("whole > 0 or part > 0")
+    plan = plan.toDF("__id", "__source", "__n", "__whole", "__part")
+    rows = docs.withColumn("__size", words(text_col))
+    same = rows[id_col].eqNullSafe(F.col("__id")) & rows[source_col].eqNullSafe(F.col("__source"))
+    rows = rows.join(plan, same & (F.col("__size") == F.col("__n")))
+    first = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), 1, F.col("__part").cast("int")), " ")
+    copies = F.array_repeat(F.col(text_col), F.col("__whole").cast("int"))
+    taken = F.when(F.col("__part") > 0, F.concat(copies, F.array(first))).otherwise(copies)
+    rows = rows.select("*", F.explode(taken).alias("__taken"))
+    return rows.select(*[F.col("__taken").alias(c) if c == text_col else F.col(c) for c in docs.columns])

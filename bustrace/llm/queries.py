@@ -82,7 +82,7 @@ def op10_token_counts(spark, sf_dir):
 
 @query
 def op8_minhash_near_dedup(spark, sf_dir):
-    return minhash.near_groups(table(spark, sf_dir, "documents")).drop("set_id")
+    return minhash.near_groups(table(spark, sf_dir, "documents")).drop("set_id", "group")
 
 
 #: What the tools of op2 take. Turns of other roles call a tool that isn't listed.

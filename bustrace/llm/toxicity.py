@@ -116,10 +116,15 @@ def learn(
     return weights["bucket"].to_numpy(np.int64), weights["weight"].to_numpy(np.float64)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str = "text") -> DataFrame:
-    """``docs`` with score and predicted."""
+def score(
+    docs: DataFrame,
+    model: tuple[np.ndarray, np.ndarray],
+    text_col: str = "text",
+    names: tuple[str, str] = ("score", "predicted"),
+) -> DataFrame:
+    """``docs`` with the score and whether it is at least a half (1 or 0), in columns of these names."""
     buckets, weights = model
-    schema = T.StructType(list(docs.schema)).add("score", "double").add("predicted", "integer")
+    schema = T.StructType(list(docs.schema)).add(names[0], "double").add(names[1], "integer")
     place = docs.columns.index(text_col)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
