@@ -3,7 +3,7 @@
 1. Every text becomes the set of its word shingles and a signature of ``COORDINATES`` minima. Equal sets are one class.
 2. A class is posted under the pairs (coordinate, value) of its signature. Two signatures that agree in at least
    ``MATCHES`` coordinates share one of the ``COORDINATES - MATCHES + 1`` rarest pairs of each, whatever order ranks the
-   pairs, so only that prefix is posted and the rest skipped. Rarity comes from a table of counters of fixed size.
+   pairs, so only that prefix is posted and the rest skipped. Rarity is known for a fixed number of the most frequent pairs.
 3. Postings that meet anyone are grouped by pair. Inside a group agreeing coordinates are counted, and classes whose
    count reaches ``MATCHES`` are chained to one cluster. Groups beyond ``GROUP_ROWS`` are one cluster as they are.
 4. Inside a cluster all links are confirmed on the full sets, in blocks of bounded size; a block returns one star per
@@ -39,7 +39,9 @@ SHINGLE_WORDS = 4
 SIMILARITY = 80  # per cent of the union
 COORDINATES = 64
 MATCHES = 36
-COUNTER_BITS = 20
+FREQUENT = 1 << 15  # pairs whose frequency ranks them; all others rank before them, by name
+RARE = 4  # a pair seen less often among so many is left out:
+COUNTED_AT_ONCE = 1 << 22
 GROUP_ROWS = 1024
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1 << 21
@@ -115,27 +117,43 @@ def _pairs_of(sigs: list[bytes]) -> np.ndarray:
     return (names ^ (names >> np.uint64(32))) * _MIX[1]
 
 
-def _counters(classes: DataFrame) -> np.ndarray:
-    """How often pairs occur, by ``COUNTER_BITS`` bits of their name; a task leaves out those it sees once."""
+def _frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Names (sorted) and counts of the ``FREQUENT`` pairs that most classes have; tasks leave out what they see rarely."""
+
+    def counts(found: list[np.ndarray]) -> pa.RecordBatch:
+        names, n = np.unique(np.concatenate(found), return_counts=True)
+        several = n >= RARE
+        columns = [pa.array(names[several].view(np.int64)), pa.array(n[several].astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        found: list[np.ndarray] = []
         for batch in batches:
             if batch.num_rows:
-                at = _pairs_of(batch.column(0).to_pylist()).ravel() >> np.uint64(64 - COUNTER_BITS)
-                total += np.bincount(at.astype(np.int64), minlength=len(total))
-        (several,) = (total > 1).nonzero()
-        columns = [pa.array(several, pa.int64()), pa.array(total[several], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["counter", "n"])
-
-    counted = classes.select("sig").mapInArrow(count, "counter long, n long")
-    counted = counted.groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # at most 2^COUNTER_BITS rows
-    table = np.zeros(1 << COUNTER_BITS, np.int64)
-    table[counted["counter"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-    return np.minimum(table, np.iinfo(np.int32).max).astype(np.int32)
-
-
-def _postings(classes: DataFrame, rarity: np.ndarray) -> DataFrame:
+                found.append(_pairs_of(batch.column(0).to_pylist()).ravel())
+            if sum(map(len, found)) >= COUNTED_AT_ONCE:
+                yield counts(found)
+                found = []
+        if found:
+            yield counts(found)
+
+    counted = classes.select("sig").mapInArrow(count, "pair long, n long")
+    counted = counted.groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(FREQUENT).toPandas()
+    names = counted["pair"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(names)
+    return names[order], counted["n"].to_numpy(np.int64)[order]
+
+
+def _counts_of(names: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The counts of frequent pairs, 0 for others."""
+    known, n = frequent
+    if not len(known):
+        return np.zeros(names.shape, np.int64)
+    at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+    return np.where(known[at] == names, n[at], 0)
+
+
+def _postings(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(pair, node) for the rarest pairs of each class, enough for two that agree to meet."""
     prefix = COORDINATES - MATCHES + 1
 
@@ -144,8 +162,7 @@ def _postings(classes: DataFrame, rarity: np.ndarray) -> DataFrame:
             if not batch.num_rows:
                 continue
             names = _pairs_of(batch.column(1).to_pylist())
-            counts = rarity[(names >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-            rarest = np.lexsort((names, counts), axis=1)[:, :prefix]
+            rarest = np.lexsort((names, _counts_of(names, frequent)), axis=1)[:, :prefix]
             pairs = np.take_along_axis(names, rarest, 1).ravel().view(np.int64)
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), prefix)
             yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(nodes)], names=["pair", "node"])
@@ -211,7 +228,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _candidates(classes: DataFrame) -> DataFrame:
     """Links (a, b) that chain all classes whose signatures agree enough."""
-    postings = _postings(classes, _counters(classes))
+    postings = _postings(classes, _frequent(classes))
     groups = postings.groupBy("pair").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).filter("m > 1")
     met = store(postings.join(groups, "pair"), "minhash-postings")
     small = met.filter(F.col("m") <= GROUP_ROWS).select("pair", "node")
