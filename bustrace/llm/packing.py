@@ -92,7 +92,7 @@ def token_pieces(
     schema = T.StructType([docs.schema[id_col], T.StructField("piece", T.IntegerType())])
     schema = schema.add("start", "long").add("length", "long").add("ids_crc32", "long")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = ranks_encoder(path, pattern, specials)

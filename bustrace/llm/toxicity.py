@@ -104,7 +104,9 @@ def learn(
             yield pd.DataFrame({"o": f["__order"], "y": f["__toxic"], "w": f["__weight"], "x": found})
 
     def trained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(frames)
+        parts = [f for f in frames if len(f)]
+        if not parts:
+            return
         frame = pd.concat(parts).sort_values("o")
         found = [np.frombuffer(x, np.uint32).astype(np.int64) for x in frame["x"]]
         bucket, weight = train(found, frame["y"].to_numpy(float), frame["w"].to_numpy(float))
@@ -113,6 +115,8 @@ def learn(
     ready = rows.mapInPandas(featured, "o long, y int, w double, x binary")
     # One task: FTRL goes through the sample row by row, and the sample is bounded.
     weights = ready.repartition(1).mapInPandas(trained, "bucket long, weight double").toPandas()  # few, by L1
+    if weights.empty:  # no text has a label
+        return np.array([_BIAS]), np.array([-800.0])
     return weights["bucket"].to_numpy(np.int64), weights["weight"].to_numpy(np.float64)
 
 

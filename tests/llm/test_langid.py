@@ -1,0 +1,61 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bustrace.llm import langid, queries
+from llm.conftest import ODD
+
+DIR = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("n", [2, 3, 7, 8, 30])
+def test_codewords_are_far_apart(n):
+    code = langid.codewords(n)
+    assert code.shape[0] == n and not (np.abs(code.sum(axis=0)) == n).any()
+    apart = (code[:, None, :] != code[None, :, :]).sum(axis=2) + code.shape[1] * np.eye(n, dtype=int)
+    assert apart.min() >= (1 if n == 2 else code.shape[1] // 4)
+
+
+def test_a_wrong_bit_is_corrected():
+    model = langid.Model({x: np.bincount([i], minlength=1 << langid.BUCKET_BITS) for i, x in enumerate("abcd")})
+    model.margins = lambda counts: np.array([[*(-model.code[2, :1]), *model.code[2, 1:]]])
+    best, score, lead = model.decode(np.ones((1, 1 << langid.BUCKET_BITS)))
+    assert model.languages[best[0]] == "c" and 0 <= score[0] <= 1 and lead[0] > 0
+
+
+def test_held_out_accuracy(spark):
+    found = queries.op3_language_id(spark, DIR)
+    truth = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "lang")
+    scored = found.join(truth, "doc_id").filter("held_out and lang is not null")
+    assert scored.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.98
+    assert found.count() == truth.count()
+    assert found.filter("score < 0 or score > 1").count() == 0
+
+
+def test_odd_rows(odd):
+    model = langid.learn(odd)
+    assert model.languages == ["de", "en"]
+    found = langid.predict(odd, model, names=("l", "p", "u")).collect()
+    assert len(found) == len(ODD)
+    for r in found:
+        assert (r["l"] == "und") == (not any(c.isalpha() for c in r["text"] or ""))
+        assert 0 <= r["p"] <= 1
+    kept = langid.drop_undetermined(odd, model)
+    assert kept.columns == odd.columns and kept.count() == sum(r["l"] != "und" for r in found)
+
+
+def test_ambiguous_text(docs):
+    rows = [(i, t, x) for i in range(40) for t, x in (("aaa bab", "x"), ("ccc dcd", "y"))]
+    model = langid.learn(docs(*rows))
+    found = {r["text"]: r["ambiguous"] for r in langid.predict(docs((1, "aaa ccc"), (2, "aaa bab")), model).collect()}
+    assert found == {"aaa ccc": True, "aaa bab": False}
+
+
+def test_no_or_one_language_and_empty_table(docs):
+    none = langid.learn(docs((1, "a", None)))
+    assert [r["lang_pred"] for r in langid.predict(docs((1, "a")), none).collect()] == ["und"]
+    one = langid.learn(docs((1, "a", "en")))
+    got = sorted(r["lang_pred"] for r in langid.predict(docs((1, "z"), (2, "1")), one).collect())
+    assert got == ["en", "und"]
+    assert langid.predict(docs(), one).collect() == []
+    assert langid.learn(docs()).languages == []

@@ -1,0 +1,47 @@
+import random
+
+import public_tokenizers
+import pytest
+
+from bustrace.llm import tokens
+from llm.conftest import ODD
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return tokens.Pieces(public_tokenizers.path(tokens.VOCABULARY))
+
+
+def test_every_prefix_has_the_library_s_count(pieces):
+    rng = random.Random(2)
+    alphabet = list("abcdefthe  \n\té漢字🙂▁<>0x1234 .,!äñ́‍\x00") + ["<s>", "</s>", "<0x0A>", "ing", "tion", "   "]
+    for _ in range(150):
+        text = "".join(rng.choices(alphabet, k=rng.randint(0, 50)))
+        wanted = [len(pieces.model.encode(text[:i])) for i in range(len(text) + 1)]
+        table = tokens.PrefixCounts(text, pieces)
+        assert table.every_prefix().tolist() == wanted
+        assert [table.tokens_at(i) for i in range(len(text) + 1)] == wanted
+        for budget in (0, 1, 4, 11, 100):
+            assert table.longest_within(budget) == max(i for i, n in enumerate(wanted) if n <= budget)
+
+
+def test_columns(odd, pieces):
+    found = {r["doc_id"]: r for r in tokens.count_tokens(odd).collect() if r["doc_id"] is not None}
+    assert tokens.count_tokens(odd).count() == len(ODD)
+    for i, text, *_ in ODD:
+        if i is not None:
+            n = len(pieces.model.encode(text or ""))
+            r = found[i]
+            assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((text or "").encode()), n, n > 4096)
+            assert len(pieces.model.encode((text or "")[: r["chars_within"]])) <= 4096
+
+
+def test_held_counts_are_bounded(pieces, monkeypatch):
+    monkeypatch.setattr(tokens, "HELD", 50)
+    text = " ".join(f"word{i}" for i in range(400))
+    assert tokens.PrefixCounts(text, pieces).total == len(pieces.model.encode(text))
+    assert tokens.PrefixCounts(text + " more", pieces).total == len(pieces.model.encode(text + " more"))
+
+
+def test_empty_table(docs):
+    assert tokens.count_tokens(docs()).collect() == []
