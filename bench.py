@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import time
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 import bustrace as b
 from bustrace.operators.offsets import watermarks
-from bustrace.session import shared_folder
+from bustrace.session import scratch_path
 from catalog.bus import PLAIN, committed_offsets, raw_messages, table
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -50,7 +49,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     b.configure(spark)
     start = time.perf_counter()
-    path = f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "bench")
     b.write_archive(raw_messages(spark, SF_DIR, PLAIN), path)
     archive_sec = round(time.perf_counter() - start, 3)
     raw = b.read_archive(spark, path)
@@ -67,7 +66,7 @@ def main() -> None:
     window = {"time_from": datetime(1996, 1, 1), "time_to": datetime(1997, 1, 1)}
     queries = {
         "search_key": lambda: b.search_messages(raw, "USR-7", limit=None),
-        "search_key_limit": lambda: b.search_messages(raw, "ORD-7"),
+        "search_key_limit": lambda: b.search_messages(raw, "ORD-7", limit=500),
         "search_header": lambda: b.search_messages(raw, "TR-7", key_field="header:trace-id"),
         "search_value_path": lambda: b.search_messages(raw, "ORD-7", key_field="value:orderId"),
         "search_boolean": lambda: b.search_messages(raw, "True", key_field="value:open", limit=None),

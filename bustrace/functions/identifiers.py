@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from bustrace.functions.evidence import members_sql
 from bustrace.functions.jsonpath import compile_path, matches
-from bustrace.functions.text import leaf_sql, quoted_list
+from bustrace.functions.text import leaf_sql, quote, quoted_list
 from bustrace.model import COORDS, ID_FIELDS, SOURCE_FIELDS
 
 IDS_TYPE = "array<struct<id:string,method_rank:int,method:string>>"
-_ENTRIES_TYPE = "array<struct<kind_rank:int,field_rank:int,field:string,text:string>>"
 
 
 def java_pattern(pattern: str) -> str | None:
@@ -35,7 +34,7 @@ def usable_patterns(spark: SparkSession, patterns: list[str] | None) -> list[tup
         if form is None:
             continue
         try:
-            spark.range(1).select(F.regexp_extract_all(F.lit(""), F.lit(form), F.lit(0))).collect()
+            spark.sparkContext._jvm.java.util.regex.Pattern.compile(form)
         except Exception as cause:
             raise ValueError(f"pattern {pattern!r} is not supported by the JVM") from cause
         count = re.compile(pattern).groups
@@ -116,42 +115,38 @@ def references(
 
     One pass over the messages; a field that is both an identifier and a source counts as the former.
     """
-    forward, n = f"array({quoted_list(id_fields)})", len(id_fields)
-    backward = f"array({quoted_list(source_fields)})"
-    wanted = [*id_fields, *(source_fields if bidirectional else [])]
+    n = len(id_fields)
+    wanted = dict.fromkeys([*id_fields, *(source_fields if bidirectional else [])])
 
-    def entry(kind_rank: str, field_rank: str, field: str, text: str) -> str:
+    def entry(kind_rank: str, field_rank: str, field: str, text: str, leaf: str = "cast(null as variant)") -> str:
         return (
             f"struct(cast({kind_rank} as int) as kind_rank, cast({field_rank} as int) as field_rank, {field} as field,"
-            f" {text} as text)"
+            f" {text} as text, {leaf} as leaf)"
         )
 
-    position, source = f"array_position({forward}, _name)", f"array_position({backward}, _name)"
-    own = entry("0", "0", "'key'", "_key")
-    header_entry = entry(f"array_position({forward}, e.key)", "0", "concat('header:', e.key)", "e.value")
-    header_part = f"map_filter(_headers, (name, text) -> name in ({quoted_list(id_fields)}))"
-    value_entry = entry(
-        f"if({position} > 0, {position} + {n}, {backward_rank(id_fields)})",
-        f"if({position} > 0, 0, {source})",
-        "concat('value:', _name)",
-        leaf_sql("_leaf"),
+    def member(name: str) -> str:
+        if name in id_fields:
+            rank, field_rank = id_fields.index(name) + 1 + n, 0
+        else:
+            rank, field_rank = backward_rank(id_fields), source_fields.index(name) + 1
+        return entry(str(rank), str(field_rank), quote(f"value:{name}"), "cast(null as string)", f"_members.`{name}`")
+
+    position = f"array_position(array({quoted_list(id_fields)}), e.key)"
+    headers = f"map_entries(map_filter(_headers, (name, text) -> name in ({quoted_list(id_fields)})))"
+    entries = f"""concat(array({entry("0", "0", "'key'", "_key")}),
+      coalesce(transform({headers}, e -> {entry(position, "0", "concat('header:', e.key)", "e.value")}), array()),
+      filter(array({', '.join(map(member, wanted))}), e -> e.leaf is not null))"""
+    # The wanted members come out of the value by name, in one step; only those that are there become rows.
+    members = f"try_variant_get(value, '$', 'struct<{', '.join(f'`{name}`: variant' for name in wanted)}>')"
+    rows = messages.select(
+        *COORDS, *carry, F.col("key").alias("_key"), F.col("headers").alias("_headers"), F.expr(members).alias("_members")
     )
-    empty = f"cast(array() as {_ENTRIES_TYPE})"
-    first, is_wanted = "coalesce(_pos, 0) = 0", f"coalesce(_name in ({quoted_list(wanted)}), false)"
-
-    # Members of the value become rows; the first row of a message also stands for its key and headers.
-    renamed = messages.select(
-        *COORDS, *carry, F.col("key").alias("_key"), F.col("headers").alias("_headers"), F.col("value").alias("_value")
-    )
-    tvf = messages.sparkSession.tvf
-    rows = renamed.lateralJoin(tvf.variant_explode_outer(F.col("_value").outer()).toDF("_pos", "_name", "_leaf"))
-    rows = rows.filter(f"{first} or {is_wanted}")
-    entries = f"""concat(
-      if({first}, concat(array({own}), transform(map_entries({header_part}), e -> {header_entry})), {empty}),
-      if({is_wanted}, array({value_entry}), {empty}))"""
     # The outer form, as for every computed array here: the inner one adds a size test that repeats the expression.
     rows = rows.select(*COORDS, *carry, F.expr(f"explode_outer({entries})").alias("_e"))
+    leaf = leaf_sql("_e.leaf")
+    text = F.expr(f"if(_e.leaf is null, _e.text, {leaf})")
+    rows = rows.select(*COORDS, *carry, "_e.kind_rank", "_e.field_rank", "_e.field", text.alias("_text"))
     # A null key refers to nothing. Saying that the rest is not null spares a test on the join key, as above.
-    return rows.filter("_e.text is not null").select(
-        *COORDS, *carry, "_e.kind_rank", "_e.field_rank", "_e.field", F.expr("coalesce(_e.text, '')").alias("ref_id")
+    return rows.filter("_text is not null").select(
+        *COORDS, *carry, "kind_rank", "field_rank", "field", F.expr("coalesce(_text, '')").alias("ref_id")
     )

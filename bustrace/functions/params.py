@@ -1,11 +1,9 @@
-"""Textual parameters: timestamps, topic lists, header filters, limits."""
+"""Textual parameters: timestamps, topic lists, header filters."""
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from bustrace.model import MAX_LIMIT
-
 
 def parse_iso_utc(value: str | None, param: str) -> datetime | None:
     """ISO-8601 text to an aware UTC time; a time without zone is UTC; bad text names the parameter."""
@@ -31,8 +29,6 @@ def parse_list(text: str | None) -> list[str] | None:
     return [part.strip() for part in text.split(",") if part.strip()]
 
 
-parse_topics = parse_list
-
 
 def parse_headers(text: str | None) -> dict[str, str] | None:
     """``k=v,k2=v2``: the first ``=`` splits, parts without one are ignored."""
@@ -40,7 +36,3 @@ def parse_headers(text: str | None) -> dict[str, str] | None:
         return None
     pairs = (part.partition("=") for part in text.split(",") if "=" in part)
     return {name.strip(): value.strip() for name, _, value in pairs}
-
-
-def clamp_limit(limit: int, top: int = MAX_LIMIT) -> int:
-    return max(1, min(limit, top))

@@ -72,6 +72,3 @@ EVIDENCE_ALIASES = {
     "customer_id": ["customer_id", "customerId"],
     "product_id": ["product_id", "productId"],
 }
-
-DEFAULT_LIMIT = 500
-MAX_LIMIT = 10_000

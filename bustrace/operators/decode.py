@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from bustrace.functions.framing import HEADER_LENGTH, framed_sql, schema_id_sql, schema_ids_sql
 from bustrace.functions.text import quote
 from bustrace.operators.wire import COMPILERS, Compiler, framed_decoder
-from bustrace.session import BROADCAST_BYTES, broadcast_if_small, measure
+from bustrace.session import BROADCAST_BYTES, measure
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -76,10 +76,9 @@ def _add_framed(df: DataFrame, schemas: DataFrame, compilers: dict[str, Compiler
         return df.withColumns({out: framed(_framed_only(src)) for out, src in sides.items()})
     framed = _row_udf(compilers)
     for out, src in sides.items():
-        # Only the ids in use are joined; every row of a topic may share one id, so the lookup side is broadcast
-        # when the used part is small enough and left to the skew handling of the adaptive join otherwise.
-        used = df.select(F.expr(schema_id_sql(src)).alias("schema_id")).distinct()
-        lookup = broadcast_if_small(schemas.join(used, "schema_id", "left_semi"))
+        # Every schema is offered to the join, so nothing has to be learned from the messages first and a stream works
+        # like a table. One id may be in every row of a topic; the adaptive join splits it.
+        lookup = schemas
         lookup = lookup.select(
             F.col("schema_id").alias("_id"),
             F.col("schema_type").alias("_type"),
@@ -128,7 +127,8 @@ def decode(
         text = f"if({framed}, _body.text, {text})"
         failure, key_value = f"if({framed}, _body.error, null)", "try_parse_json(_key_body.text)"
     closed = f"try_parse_json(concat('[', {text}, {quote(f',"{_END}"]')}))"
-    whole = f"try_variant_get(_doc, '$[1]', 'string') = {quote(_END)}"
+    # The mark is the last element: a payload that holds it itself leaves another one behind.
+    whole = f"try_variant_get(_doc, '$[1]', 'string') = {quote(_END)} and try_variant_get(_doc, '$[2]', 'variant') is null"
     start = "trim(leading '\\uFEFF \\t\\r\\n' from cast(raw as string))"
     is_object = f"({framed} or startswith(cast(raw as string), '{{') or startswith({start}, '{{'))"
     status = (

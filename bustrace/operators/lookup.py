@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bustrace.errors import DecodeError, MessageMissing, MessageNotFound, TopicNotFound
 from bustrace.model import COORDS
 from bustrace.operators.offsets import watermarks
+from bustrace.operators.predicates import in_topic_ranges
 from bustrace.operators.search import enrich
 from bustrace.session import broadcast_if_small
 
@@ -22,9 +23,11 @@ def get_messages(
     """
     wanted = coords.select(*COORDS).distinct()
     small = broadcast_if_small(wanted)
-    # A topic filter derived from few coordinates would need them on the driver; the join prunes at run time instead.
-    found = enrich(raw.join(small, COORDS, "left_semi"), **decoding)
-    marks = watermarks(raw, partition_meta).select("topic", "partition", "earliest", "latest")
+    bounds = wanted.select("topic", F.col("offset").alias("start"), (F.col("offset") + 1).alias("stop"))
+    found = enrich(raw.filter(in_topic_ranges(bounds)).join(small, COORDS, "left_semi"), **decoding)
+    asked = broadcast_if_small(wanted.select("topic", "partition").distinct())
+    marks = watermarks(raw.join(asked, ["topic", "partition"], "left_semi"), partition_meta)
+    marks = marks.select("topic", "partition", "earliest", "latest")
     outside = (F.col("offset") < F.col("earliest")) | (F.col("offset") >= F.col("latest"))
     status = (
         F.when(F.col("decode_status").isNotNull(), F.lit("found"))

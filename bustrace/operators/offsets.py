@@ -1,23 +1,20 @@
-"""Topics, partitions, watermarks, time-to-offset seeks and scan bounds."""
+"""Topics, partitions, watermarks and time-to-offset seeks."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bustrace.errors import TopicNotFound
 from bustrace.functions.params import as_utc
 from bustrace.operators.normalize import HAS_EVENT_TIME
-from bustrace.operators.predicates import is_internal
+from bustrace.operators.predicates import in_topic_ranges, is_internal
 from bustrace.session import store
 
 PARTITION = ["topic", "partition"]
 
-# A scan cap is first narrowed to one of this many offset ranges per partition, then ranked inside that range.
-RANGES_PER_PARTITION = 4096
-
 
 def list_topics(raw: DataFrame, include_internal: bool = False, partition_meta: DataFrame | None = None) -> DataFrame:
     topics = raw.select("topic")
@@ -93,48 +90,17 @@ def describe_topic(raw: DataFrame, topic: str, partition_meta: DataFrame | None
     return describe_topics(raw.filter(F.col("topic") == topic), partition_meta)
 
 
-def scan_bounds(raw: DataFrame, time_from: datetime | None = None, max_scan: int | None = None) -> DataFrame:
-    """(topic, partition, start, stop): seek to ``time_from``, then at most ``max_scan`` records in offset order.
+def seek_bounds(raw: DataFrame, time_from: datetime) -> DataFrame:
+    """(topic, partition, start, stop): from the first offset stamped at or after ``time_from``, or else from the first.
 
-    A partition may hold a large part of all rows, so the cap is not ranked over whole partitions. Counting rows per
-    offset range (partial aggregation) finds the range in which the cap falls, and only the rows of that range are
-    ranked. The result, one row per partition, is stored.
+    One row per partition, stored.
     """
-    start = F.min("offset")
-    if time_from is not None:
-        late_enough = F.expr(HAS_EVENT_TIME) & (F.col("timestamp") >= F.lit(as_utc(time_from)))
-        start = F.coalesce(F.min(F.when(late_enough, F.col("offset"))), start)
-    ends = raw.groupBy(*PARTITION).agg(start.alias("start"), (F.max("offset") + 1).alias("stop"))
-    whole = store(ends, "scan-ends")
-    if max_scan is None:
-        return whole
-    width = F.ceil((F.col("stop") - F.col("start")) / RANGES_PER_PARTITION)
-    ranged = (
-        raw.select(*PARTITION, "offset")
-        .join(whole.withColumn("width", width), PARTITION)
-        .filter(F.col("offset") >= F.col("start"))
-        .withColumn("range", F.floor((F.col("offset") - F.col("start")) / F.col("width")))
-    )
-    upto = Window.partitionBy(*PARTITION).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy(*PARTITION, "range").agg(F.count(F.lit(1)).alias("n"))
-    crossing = (
-        counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-        .filter((F.col("before") < max_scan) & (F.col("before") + F.col("n") >= max_scan))
-        .select(*PARTITION, "range", (max_scan - F.col("before")).alias("left"))
-    )
-    crossing = store(crossing, "scan-range")  # at most one row per partition
-    rank = F.row_number().over(Window.partitionBy(*PARTITION).orderBy("offset"))
-    capped = (
-        ranged.join(crossing, [*PARTITION, "range"])
-        .withColumn("rank", rank)
-        .filter(F.col("rank") == F.col("left"))
-        .select(*PARTITION, (F.col("offset") + 1).alias("capped"))
-    )
-    bounds = whole.join(capped, PARTITION, "left").withColumn("stop", F.coalesce("capped", "stop")).drop("capped")
-    return store(bounds, "scan-bounds")
+    late_enough = F.expr(HAS_EVENT_TIME) & (F.col("timestamp") >= F.lit(as_utc(time_from)))
+    start = F.coalesce(F.min(F.when(late_enough, F.col("offset"))), F.min("offset"))
+    return store(raw.groupBy(*PARTITION).agg(start.alias("start"), (F.max("offset") + 1).alias("stop")), "bounds")
 
 
 def within_bounds(raw: DataFrame, bounds: DataFrame) -> DataFrame:
     """Rows inside their partition's bounds; ``bounds`` is a stored table of one row per partition."""
-    inside = raw.join(bounds, PARTITION).filter((F.col("offset") >= F.col("start")) & (F.col("offset") < F.col("stop")))
-    return inside.select(*raw.columns)
+    inside = raw.filter(in_topic_ranges(bounds)).join(bounds, PARTITION)
+    return inside.filter((F.col("offset") >= F.col("start")) & (F.col("offset") < F.col("stop"))).select(*raw.columns)

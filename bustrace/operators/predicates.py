@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bustrace.functions.params import as_utc
@@ -40,6 +40,23 @@ def in_offsets(start: int | None = None, stop: int | None = None) -> Column:
     return reduce(Column.__and__, bounds, F.lit(True))
 
 
+# So many topics are named in a filter at most; a plan with more would be larger than what it saves.
+FILTERED_TOPICS = 500
+
+
+def in_topic_ranges(bounds: DataFrame) -> Column:
+    """Necessary test for rows inside ``bounds`` (topic, start, stop): literals per topic, which the scan can prune on.
+
+    Of the bounds, one row per topic comes to the driver, and none beyond ``FILTERED_TOPICS``.
+    """
+    per_topic = bounds.groupBy("topic").agg(F.min("start").alias("a"), F.max("stop").alias("z"))
+    rows = per_topic.limit(FILTERED_TOPICS + 1).collect()
+    if len(rows) > FILTERED_TOPICS:
+        return F.lit(True)
+    inside = [(F.col("topic") == r["topic"]) & (F.col("offset") >= r["a"]) & (F.col("offset") < r["z"]) for r in rows]
+    return reduce(Column.__or__, inside, nothing())
+
+
 def key_equals(key: str) -> Column:
     """Message key equals the text; a null key never does.
 

@@ -1,4 +1,7 @@
-"""Display projections of results; printing is ``df.show``."""
+"""Display projections of results; printing is ``df.show``.
+
+Texts are whole; ``width`` shortens the value for display.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +10,15 @@ from pyspark.sql import functions as F
 
 from bustrace.functions.text import iso_text
 
-_TIME_WIDTH = 26
-
 
-def _value_text(width: int) -> Column:
-    return F.substring(F.coalesce(F.to_json("value"), F.lit("")), 1, width)
+def _value_text(width: int | None) -> Column:
+    text = F.coalesce(F.to_json("value"), F.lit(""))
+    return text if width is None else F.substring(text, 1, width)
 
 
 def _place() -> list[Column]:
     return [
-        F.substring(iso_text("timestamp_utc"), 1, _TIME_WIDTH).alias("Timestamp"),
+        iso_text("timestamp_utc").alias("Timestamp"),
         F.col("topic").alias("Topic"),
         F.col("partition").alias("Partition"),
         F.col("offset").alias("Offset"),
@@ -24,13 +26,13 @@ def _place() -> list[Column]:
     ]
 
 
-def search_report(messages: DataFrame) -> DataFrame:
-    return messages.select(*_place(), _value_text(80).alias("Value"))
+def search_report(messages: DataFrame, width: int | None = None) -> DataFrame:
+    return messages.select(*_place(), _value_text(width).alias("Value"))
 
 
-def correlation_report(messages: DataFrame) -> DataFrame:
+def correlation_report(messages: DataFrame, width: int | None = None) -> DataFrame:
     chain = F.array_join("correlation_chain", "->").alias("Chain")
-    return messages.select(*_place(), chain, _value_text(60).alias("Value"))
+    return messages.select(*_place(), chain, _value_text(width).alias("Value"))
 
 
 def lag_report(lag: DataFrame) -> DataFrame:
@@ -55,7 +57,7 @@ def topic_report(described: DataFrame) -> DataFrame:
     )
 
 
-def message_report(messages: DataFrame) -> DataFrame:
+def message_report(messages: DataFrame, width: int | None = None) -> DataFrame:
     return messages.select(
         F.format_string("%s[%d]@%d", "topic", "partition", "offset").alias("Message"),
         F.col("key").alias("Key"),
@@ -64,5 +66,5 @@ def message_report(messages: DataFrame) -> DataFrame:
         F.col("event_type").alias("Event type"),
         F.col("headers").alias("Headers"),
         F.col("keys").alias("Evidence keys"),
-        F.when(F.col("value").isNull(), F.lit("(none)")).otherwise(_value_text(512)).alias("Value"),
+        F.when(F.col("value").isNull(), F.lit("(none)")).otherwise(_value_text(width)).alias("Value"),
     )

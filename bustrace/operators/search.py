@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 from bustrace.functions.evidence import with_evidence
 from bustrace.functions.framing import framed_sql
 from bustrace.functions.text import child_sql, leaf_text, path_equals, payload_may_hold, utf8_text
-from bustrace.model import DEFAULT_LIMIT
 from bustrace.operators.decode import decode
 from bustrace.operators.normalize import normalize, opened, with_texts
-from bustrace.operators.offsets import scan_bounds, within_bounds
-from bustrace.operators.predicates import header_value, headers_equal, in_topics, in_window, key_equals, not_after, nothing
-from bustrace.session import broadcast_if_small
-
-# Spreads the rows of one key over this many ranks before the final one.
-TOP_SPREAD = 64
+from bustrace.operators.offsets import seek_bounds, within_bounds
+from bustrace.operators.predicates import (
+    header_value,
+    headers_equal,
+    in_offsets,
+    in_topics,
+    in_window,
+    key_equals,
+    not_after,
+    nothing,
+)
+from bustrace.session import broadcast_if_small, store
+
+# A limit beyond this is not merged in one task.
+MERGED_ROWS = 10_000
 
 
 def enrich(raw: DataFrame, **decoding) -> DataFrame:
@@ -34,12 +42,26 @@ def topic_position(topics: list[str] | None) -> Column:
 
 
 def first_rows(rows: DataFrame, order: list, n: int) -> DataFrame:
-    """The first ``n`` rows in an order, kept per task and merged, never sorted as a whole.
+    """The first ``n`` rows in an order.
 
-    The result is one partition anyway; naming it keeps later projections from being moved between sort and limit,
-    which would turn the top-n into a global sort.
+    A small number is kept per task and merged; the result is one partition anyway, and naming it keeps later
+    projections from being moved between sort and limit, which would turn the top-n into a global sort. A large number
+    is found by counts: rows are ranged by the order and written, whole ranges are taken while they fit, and only the
+    range in which ``n`` is reached is cut.
     """
-    return rows.orderBy(*order).limit(n).coalesce(1)
+    if n <= MERGED_ROWS:
+        return rows.orderBy(*order).limit(n).coalesce(1)
+    ranged = store(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
+    left, cut = n, None
+    for r in ranged.groupBy("_range").count().orderBy("_range").collect():  # one row per partition
+        if r["count"] > left:
+            cut = r["_range"]
+            break
+        left -= r["count"]
+    if cut is None:
+        return ranged.drop("_range")
+    rest = ranged.filter(F.col("_range") == cut).orderBy(*order).limit(left)
+    return ranged.filter(F.col("_range") < cut).unionByName(rest).drop("_range")
 
 
 def match_messages(
@@ -82,26 +104,28 @@ def search_messages(
     headers: dict[str, str] | None = None,
     time_from: datetime | None = None,
     time_to: datetime | None = None,
-    limit: int | None = DEFAULT_LIMIT,
-    max_scan: int | None = None,
+    start_offset: int | None = None,
+    stop_offset: int | None = None,
+    limit: int | None = None,
     mode: str = "strict",
     **decoding,
 ) -> DataFrame:
     """Messages that carry ``key`` in the window.
 
     ``key_field``: None or ``key``, ``header:<name>``, ``value:<dotted.path>``; anything else matches nothing.
-    ``limit`` counts matches in scan order (topic, partition, offset) and the result is sorted by time; ``None``
-    returns all matches as an unordered table. ``mode="seek"`` starts each partition at the first offset stamped at or
-    after ``time_from`` instead of testing every row. ``max_scan`` caps the records examined per partition.
+    All matches are returned as an unordered table, unless ``limit`` is given: it counts matches in scan order (topic,
+    partition, offset), and the result is sorted by time. ``mode="seek"`` starts each partition at the first offset stamped at or
+    after ``time_from`` instead of testing every row. ``start_offset`` (inclusive) and ``stop_offset`` (exclusive) bound
+    the offsets of every partition and reach the scan.
     """
     if mode not in ("strict", "seek"):
         raise ValueError(f"mode must be strict or seek, not {mode!r}")
     if limit is not None and limit <= 0:
         return enrich(raw.limit(0), **decoding)
-    scope = raw.filter(in_topics(topics))
+    scope = raw.filter(in_topics(topics) & in_offsets(start_offset, stop_offset))
     seek = time_from if mode == "seek" else None
-    if max_scan is not None or seek is not None:
-        scope = within_bounds(scope, scan_bounds(scope, time_from, max_scan))
+    if seek is not None:
+        scope = within_bounds(scope, seek_bounds(scope, seek))
     if time_to is None:
         scope = scope.filter(not_after(datetime.now(timezone.utc)))
     order = [topic_position(topics), F.col("partition"), F.col("offset")]
@@ -139,14 +163,10 @@ def _with_key_text(rows: DataFrame, key_field: str | None, decoding: dict) -> tu
 
 
 def first_per_key(rows: DataFrame, key: str, order: list[Column], n: int) -> DataFrame:
-    """First ``n`` rows of each key. A key may own a large part of all rows, so ranks are taken per (key, slice)
-    first; the second rank sees at most ``TOP_SPREAD * n`` rows of a key."""
-    part = F.pmod(F.hash("partition", "offset"), F.lit(TOP_SPREAD))
-    rows = rows.withColumn("_part", part)
-    for by in ([key, "_part"], [key]):
-        rows = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-        rows = rows.filter(F.col("_rank") <= n).drop("_rank")
-    return rows.drop("_part")
+    """First ``n`` rows of each key. Spark ranks within each task before the shuffle, so of a key that owns a large part
+    of all rows at most ``n`` per task are moved."""
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def search_many(

@@ -9,22 +9,17 @@ from bustrace import session
 from bustrace.functions.evidence import with_evidence
 from bustrace.functions.identifiers import backward_rank, references, with_identifiers
 from bustrace.functions.text import iso_text
-from bustrace.model import COORDS, DEFAULT_LIMIT, DETAIL_TYPE, ID_FIELDS, SOURCE_FIELDS
+from bustrace.model import COORDS, DETAIL_TYPE, ID_FIELDS, SOURCE_FIELDS
 from bustrace.operators.decode import decode
 from bustrace.operators.normalize import normalize
 from bustrace.operators.predicates import may_refer_to
-from bustrace.operators.search import first_rows, topic_position
+from bustrace.operators.search import MERGED_ROWS, first_rows, topic_position
 
-# Columns of a decoded message that a reference takes along when its message is not joined back.
-_DECODED = [
-    "key", "headers", "timestamp_utc", "timestamp_fallback", "raw", "raw_key",
-    "value", "decode_status", "decode_error", "key_decoded", "schema_id",
-]
+# Ids of up to so many bytes also serve to drop rows that cannot refer to any of them before they are decoded.
+PREFILTER_BYTES = 4096
 
-_TRACE = ["correlation_chain", "correlation_details", "correlation_level"]
-
-# Up to so many ids, rows that cannot refer to any of them are dropped before they are decoded.
-FEW_IDS = 32
+# Tells apart messages that hold the same coordinates.
+_COPY = "xxhash64(key, value, timestamp, timestampType, headers) as _copy"
 
 
 def _no_trace(messages: DataFrame) -> DataFrame:
@@ -57,12 +52,18 @@ def _frontier(ids: DataFrame, max_breadth: int | None) -> tuple[DataFrame, int,
     return stored, *session.measure(stored)
 
 
-def _discover(refs: DataFrame, frontier: DataFrame, size: int, backward: int) -> DataFrame:
-    """Messages found by the frontier, each once, by the first (id, kind of field) that finds it."""
-    found = refs.join(session.broadcast_if_small(frontier, size), "ref_id")
-    columns = [c for c in found.columns if c not in COORDS]
-    rank = F.struct("ref_id", "kind_rank", "field_rank")
-    first = found.groupBy(*COORDS).agg(F.min_by(F.struct(*columns), rank).alias("_first")).select(*COORDS, "_first.*")
+def _discover(refs: DataFrame, frontier: DataFrame) -> DataFrame:
+    """Coordinates found by the frontier, each once, by the first (id, kind of field) that finds it.
+
+    Narrow rows only: of messages with equal coordinates one is chosen by its hash, and its payload is joined later.
+    """
+    first = F.min(F.struct("ref_id", "kind_rank", "field_rank", "_copy", "field", "timestamp_utc")).alias("_first")
+    found = refs.join(frontier, "ref_id", "left_semi")
+    return found.groupBy(*COORDS).agg(first).select(*COORDS, "_first.*")
+
+
+def _traced(found: DataFrame, frontier: DataFrame, backward: int) -> DataFrame:
+    """``found`` with chain and details, which go on from those of the id that found it."""
     is_backward = F.col("kind_rank") == backward
     detail = F.struct(
         F.col("ref_id").alias("id"),
@@ -71,12 +72,12 @@ def _discover(refs: DataFrame, frontier: DataFrame, size: int, backward: int) ->
         F.when(is_backward, F.lit("backward_reference")).otherwise(F.col("method")).alias("extraction_method"),
         iso_text("timestamp_utc").alias("timestamp"),
     ).cast(DETAIL_TYPE)
-    return first.withColumns(
+    return found.join(frontier, "ref_id").withColumns(
         {
             "correlation_chain": F.concat("chain", F.array("ref_id")),
             "correlation_details": F.concat("details", F.array(detail)),
         }
-    ).drop("chain", "details", "method", "field")
+    ).drop("chain", "details", "method", "field", "timestamp_utc")
 
 
 def correlate(
@@ -84,7 +85,7 @@ def correlate(
     seeds: DataFrame,
     follow_topics: list[str],
     *,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     regex_patterns: list[str] | None = None,
     jsonpath_expressions: list[str] | None = None,
     max_depth: int | None = None,
@@ -98,8 +99,8 @@ def correlate(
 
     One job finds the hits of all ids of a hop together. ``max_depth`` hops (None: one); per hop at most
     ``max_breadth`` ids in id order; ``bidirectional`` adds source fields. ``limit`` keeps the earliest seeds, then
-    hits by hop, id, kind of field and scan order, and sorts the result by time; ``None`` gives the whole result as an
-    unordered table. Adds ``correlation_chain``, ``correlation_details`` and ``correlation_level``.
+    hits by hop, id, kind of field and scan order, and sorts the result by time; without it the whole result comes as
+    an unordered table. Adds ``correlation_chain``, ``correlation_details`` and ``correlation_level``.
 
     Seeds, frontiers and the messages of a hop that is followed further are stored in the shared folder.
     """
@@ -127,26 +128,27 @@ def correlate(
     def identified(messages: DataFrame) -> DataFrame:
         return with_identifiers(messages, regex_patterns, jsonpath_expressions, id_fields)
 
-    def messages_found(frontier: DataFrame, ids: int, size: int, last: bool) -> DataFrame:
-        """Full messages of the follow topics that the frontier finds and that are not seen yet."""
+    def messages_found(frontier: DataFrame, size: int, last: bool) -> DataFrame:
+        """Full messages of the follow topics that the frontier finds and that are not seen yet.
+
+        One plan for every size: narrow references meet the ids, their hits are stored, and payloads are joined back.
+        """
         rows = follow
-        if ids <= FEW_IDS:
-            few = [r["ref_id"] for r in frontier.select("ref_id").collect()]  # at most FEW_IDS
+        if size <= PREFILTER_BYTES:
+            few = [r["ref_id"] for r in frontier.select("ref_id").collect()]  # at most PREFILTER_BYTES
             rows = follow.filter(may_refer_to(few, decoding.get("schemas") is not None))
-        # A frontier that can be broadcast takes the payload along in the one scan. Otherwise narrow references are
-        # shuffled, and the payload of what they find is joined back.
-        carried = size <= session.BROADCAST_BYTES
-        decoded = decode(normalize(rows), **decoding)
-        refs = references(decoded, _DECODED if carried else ["timestamp_utc"], bidirectional, id_fields, source_fields)
-        new = _discover(refs, frontier, size, backward).join(seen, COORDS, "left_anti")
+        rows = rows.selectExpr("*", _COPY)
+        decoded = decode(normalize(rows, keep=["_copy"]), **decoding)
+        refs = references(decoded, ["timestamp_utc", "_copy"], bidirectional, id_fields, source_fields)
+        small = session.broadcast_if_small(frontier, size)
+        new = _discover(refs, small.select("ref_id")).join(seen, COORDS, "left_anti")
         new = new.withColumn("topic_pos", topic_position(follow_topics))
-        if not carried:
-            if last and room is not None:
-                new = first_rows(new, order, room)
-            trace = [*_TRACE[:2], *order[:4]]
-            new = follow.join(session.store(new.select(*COORDS, *trace), "hits"), COORDS)
-            new = decode(normalize(new, keep=trace), **decoding)
-        return with_evidence(new)
+        if last and room is not None:
+            new = first_rows(new, order, room)
+        new = _traced(session.store(new, "hits"), small, backward)
+        trace = [c for c in new.columns if c not in (*COORDS, "_copy")]
+        whole = rows.join(session.broadcast_if_small(new), [*COORDS, "_copy"]).drop("_copy").dropDuplicates(COORDS)
+        return with_evidence(decode(normalize(whole, keep=trace), **decoding))
 
     frontier, n, size = _frontier(_first_ids(identified(seeds), []), max_breadth)
     followed, seen = frontier.select("ref_id"), seeds.select(*COORDS)
@@ -158,10 +160,10 @@ def correlate(
         if n == 0:
             break
         last = level == depth
-        new = messages_found(frontier, n, size, last).withColumn("correlation_level", F.lit(level))
+        new = messages_found(frontier, size, last).withColumn("correlation_level", F.lit(level))
         if not last:
             new = session.store(identified(new), "hits")
-            total += new.count()
+            total += 0 if room is None else new.count()
         hits = new if hits is None else hits.unionByName(new, allowMissingColumns=True)
         if last or (room is not None and total >= room):
             break
@@ -177,9 +179,9 @@ def correlate(
         result = seeds_kept.unionByName(hits.drop("ids", *order[:4]), allowMissingColumns=True)
     if limit is None:
         return result
-    # At most ``limit`` rows by now: sorted in one place, without an exchange by range.
     order = ["timestamp_utc", "correlation_level", topic_position(follow_topics), "partition", "offset"]
-    return result.coalesce(1).orderBy(*order)
+    # A small number of rows is sorted in one place, without an exchange by range.
+    return (result.coalesce(1) if limit <= MERGED_ROWS else result).orderBy(*order)
 
 
 def correlation_summary(correlated: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 # A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-_local_folder: str | None = None
+# Folders written, by scope: the innermost open ``scratch`` block, or the whole program.
+_scopes: list[list[tuple[SparkSession, str]]] = [[]]
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,16 +25,26 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; an own one only for a local master where it is unset."""
-    global _local_folder
+    """The folder named by spark.checkpoint.dir; one in the warehouse only for a local master where it is unset."""
+    master = spark.sparkContext.master
+    local = master.startswith("local") and not master.startswith("local-cluster")
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
+    if folder and (local or "://" in folder or not _default_is_local(spark)):
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="bustrace-")
-    return _local_folder
+    if not local:
+        raise ValueError("set spark.checkpoint.dir, with its scheme, to a folder all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def _default_is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is there goes when the ``scratch`` block or the program ends."""
+    path = f"{shared_folder(spark)}/bustrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    _scopes[-1].append((spark, path))
+    return path
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -41,11 +54,33 @@ def store(df: DataFrame, name: str) -> DataFrame:
     table whose size Catalyst knows from its files.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/bustrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(made: list[tuple[SparkSession, str]]) -> None:
+    while made:
+        spark, path = made.pop()
+        with suppress(Exception):  # the session may have ended before, and its folder with it
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables stored inside the block are deleted at its end; take results out of them before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        _delete(_scopes.pop())
+
+
+atexit.register(lambda: _delete(_scopes[0]))
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes as JSON text) of a table; one aggregate, nothing is collected."""
     row = df.agg(

@@ -5,8 +5,8 @@ The bus is written down as plain relations (messages, references, identifiers),
 
 from __future__ import annotations
 
-_LINE_OFFSET = """(date_diff('day', date '1970-01-01', l_shipdate::date)::bigint * 1099511627776
-  + ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 10))::bigint)"""
+_LINE_OFFSET = """(date_diff('day', date '1970-01-01', l_shipdate::date)::bigint * 281474976710656
+  + ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 12))::bigint)"""
 
 
 def _place(topic: str, id_: str, offset: str | None = None) -> str:
@@ -207,10 +207,10 @@ _ORDERS = "topic = 'orders'"
 _ORDER7 = "topic = 'orders' and \"key\" = 'ORD-7'"
 
 
-def _report(chain: str = "", width: int = 80) -> str:
+def _report(chain: str = "") -> str:
     return (
-        f"""substr({_iso('ts_us')}, 1, 26) as "Timestamp", topic as "Topic", "partition" as "Partition", "offset" as "Offset","""
-        f""" coalesce("key", '') as "Key", {chain} substr(coalesce(value_json, ''), 1, {width}) as "Value" """
+        f"""{_iso('ts_us')} as "Timestamp", topic as "Topic", "partition" as "Partition", "offset" as "Offset","""
+        f""" coalesce("key", '') as "Key", {chain} coalesce(value_json, '') as "Value" """
     )
 
 
@@ -297,9 +297,31 @@ def oracle_sql() -> dict[str, str]:
         "search_limit": _with(
             f'select {_FLAT} from plain where {_SUP3} order by "partition", "offset" limit 50'
         ),
-        "search_max_scan": _with(
-            f'select {_FLAT} from (select *, row_number() over (partition by topic, "partition" order by "offset") as n'
-            " from plain) where n <= 100 and headers_json like '%\"source\":\"web\"%'"
+        "search_offsets": _flat("plain", "\"offset\" >= 100 and \"offset\" < 2000 and headers_json like '%\"source\":\"web\"%'"),
+        "search_order": _with(
+            f"select {_FLAT}, (row_number() over (order by ts_us, \"partition\", \"offset\"))::bigint as place from"
+            f' (select * from plain where topic = \'shipments\' and {_SUP3} order by "partition", "offset" limit 40)'
+        ),
+        "search_no_topics": _flat("plain", "false"),
+        "search_unknown_field": _flat("plain", "false"),
+        "archive_search_key": _flat("plain", "\"key\" = 'USR-7'"),
+        "archive_search_offsets": _flat("plain", "topic = 'orders' and \"offset\" >= 100 and \"offset\" < 200 and headers_json like '%\"web\"%'"),
+        "archive_get_messages": _with(
+            f"""select o.topic, o."partition", o."offset", "key", customer_id, 'found' as lookup_status
+from plain o where topic = 'orders' and "offset" % 10 = 0"""
+        ),
+        "coordinates_held_twice": _with(
+            f"select topic, count(*) as twice from (select {_COORDS} from bus group by all having count(*) > 1) group by topic"
+        ),
+        "export_lag": _with(
+            """select '{"group":"' || "group" || '","topic":"' || topic || '","partition":' || "partition" as head
+from lag"""
+        ),
+        "watermarks_with_metadata": _with(
+            """select topic, "partition", ("partition" + 1)::int as leader,
+  case when "partition" = 0 then earliest + 1 else earliest end as earliest,
+  case when "partition" = 1 then latest + 5 else latest end as latest
+from marks union all select 'empty', 0, 7, 0, 0"""
         ),
         "search_many": _with(f"select {_FLAT}, order_id as search_key from plain where topic = 'shipments'"),
         "search_many_keys": _with(
@@ -319,7 +341,7 @@ def oracle_sql() -> dict[str, str]:
   case when m.topic is not null then 'found' when k.topic is null then 'unknown_partition'
     when c."offset" < earliest or c."offset" >= latest then 'out_of_range' else 'missing' end as lookup_status
 from (select 'orders' as topic, (c_custkey % 5)::int as "partition", c_custkey * 5 as "offset" from customer
-  union all select 'shipments', (c_custkey % 4)::int, 10000 * 1099511627776 + c_custkey from customer) c
+  union all select 'shipments', (c_custkey % 4)::int, 10000 * 281474976710656 + c_custkey from customer) c
 left join plain m using ({_COORDS}) left join marks k on k.topic = c.topic and k."partition" = c."partition" """
         ),
         "export_json": _with(
@@ -380,8 +402,7 @@ union all select {line_place}, 'TR-' || l_orderkey, 'jsonpath:$.headers[''trace-
         "investigate": _correlate(
             _ORDER7,
             _FOLLOW,
-            f"""select {_report('chain as "Chain",', 60)} from found join bus using ({_COORDS})""",
+            f"""select {_report('chain as "Chain",')} from found join bus using ({_COORDS})""",
             backward=True,
-            limit=500,
         ),
     }

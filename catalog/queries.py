@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from bustrace.functions.identifiers import correlation_ids, references
 from bustrace.model import COORDS
 from bustrace.operators import report
 from bustrace.operators.offsets import watermarks
+from bustrace.session import scratch_path
 from catalog.bus import PLAIN, committed_offsets, raw_messages, schemas, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,9 +248,28 @@ def search_limit(spark, sf_dir):
 
 
 @query
-def search_max_scan(spark, sf_dir):
+def search_offsets(spark, sf_dir):
     raw = _plain(spark, sf_dir)
-    return flat(b.search_messages(raw, "web", key_field="header:source", limit=None, max_scan=100))
+    return flat(b.search_messages(raw, "web", key_field="header:source", start_offset=100, stop_offset=2000))
+
+
+@query
+def search_order(spark, sf_dir):
+    """The order of a limited result, as a column."""
+    raw = _plain(spark, sf_dir)
+    found = b.search_messages(raw, "SUP-3", key_field="value:shipment.supplier", topics=["shipments"], limit=40)
+    # The limited result is one partition, in its order.
+    return flat(found, (F.monotonically_increasing_id() + 1).alias("place"))
+
+
+@query
+def search_no_topics(spark, sf_dir):
+    return flat(b.search_messages(_plain(spark, sf_dir), "USR-7", topics=[]))
+
+
+@query
+def search_unknown_field(spark, sf_dir):
+    return flat(b.search_messages(_plain(spark, sf_dir), "USR-7", key_field="topic"))
 
 
 def _order_keys(spark, sf_dir):
@@ -302,12 +323,71 @@ def get_messages(spark, sf_dir):
     gaps = customers.select(
         F.lit("shipments").alias("topic"),
         (c % 4).cast("int").alias("partition"),
-        (F.shiftleft(F.lit(10000).cast("bigint"), 40) + c).alias("offset"),
+        (F.shiftleft(F.lit(10000).cast("bigint"), 48) + c).alias("offset"),
     )
     found = b.get_messages(_plain(spark, sf_dir), coords.union(gaps))
     return found.select(*COORDS, "lookup_status", "key", "keys.customer_id")
 
 
+# --- Over a written archive -------------------------------------------------------------------------------------------
+
+
+@cache
+def _archive_path(application: str, sf_dir: str) -> str:
+    spark = SparkSession.active()
+    path = scratch_path(spark, "archive")
+    b.write_archive(_plain(spark, sf_dir), path)
+    return path
+
+
+def _archive(spark, sf_dir):
+    """The bus as an archive in the shared folder, written once for each session and table folder."""
+    return b.read_archive(spark, _archive_path(spark.sparkContext.applicationId, sf_dir))
+
+
+@query
+def archive_search_key(spark, sf_dir):
+    return flat(b.search_messages(_archive(spark, sf_dir), "USR-7"))
+
+
+@query
+def archive_search_offsets(spark, sf_dir):
+    bounds = {"topics": ["orders"], "start_offset": 100, "stop_offset": 200}
+    return flat(b.search_messages(_archive(spark, sf_dir), "web", key_field="header:source", **bounds))
+
+
+@query
+def archive_get_messages(spark, sf_dir):
+    raw = _archive(spark, sf_dir)
+    coords = raw.filter("topic = 'orders' and offset % 10 = 0").select(*COORDS)
+    return b.get_messages(raw, coords).select(*COORDS, "lookup_status", "key", "keys.customer_id")
+
+
+@query
+def coordinates_held_twice(spark, sf_dir):
+    """Coordinates that more than one message has, by topic."""
+    held = raw_messages(spark, sf_dir).groupBy(*COORDS).count().filter("count > 1")
+    return held.groupBy("topic").agg(F.count(F.lit(1)).alias("twice"))
+
+
+# --- Broker metadata ----------------------------------------------------------------------------------------------------
+
+
+@query
+def watermarks_with_metadata(spark, sf_dir):
+    """Leaders, an earlier end of retention, a later end, and a partition without messages."""
+    raw = _plain(spark, sf_dir)
+    meta = watermarks(raw).selectExpr(
+        "topic",
+        "partition",
+        "partition + 1 as leader",
+        "if(partition = 0, earliest + 1, null) as earliest",
+        "if(partition = 1, latest + 5, null) as latest",
+    )
+    empty = spark.createDataFrame([("empty", 0, 7, 0, 0)], "topic string, partition int, leader int, earliest long, latest long")
+    return b.watermarks(raw, meta.unionByName(empty))
+
+
 # --- Export ---------------------------------------------------------------------------------------------------------
 
 
@@ -316,6 +396,12 @@ def export_json(spark, sf_dir):
     return b.export_json(b.enrich(_plain(spark, sf_dir, ["orders"]))).withColumnRenamed("value", "json")
 
 
+@query
+def export_lag(spark, sf_dir):
+    lines = b.export_json(_lag(spark, sf_dir))
+    return lines.select(F.regexp_extract("value", r'^(.*"partition":\d+)', 1).alias("head"))
+
+
 @query
 def import_json(spark, sf_dir):
     return flat(b.import_json(b.export_json(b.enrich(_plain(spark, sf_dir)))), F.octet_length("raw").alias("raw_bytes"))

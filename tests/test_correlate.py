@@ -73,34 +73,34 @@ def test_jsonpath_ids(bus):
 @pytest.fixture(scope="module")
 def trace(bus):
     return bus(
-        message("orders", 1, {"order_id": "order-123"}, key="order-123", headers={"trace_id": "trace-abc"}, ts=T0 + timedelta(minutes=1)),
-        message("payments", 2, {"payment_id": "p"}, key="payment-456", headers={"trace_id": "trace-abc"}),
-        message("payments", 3, {"causedBy": "order-123"}, ts=T0 + timedelta(minutes=2)),
-        message("payments", 4, {"parentId": "order-123", "source_id": "trace-abc"}, ts=T0 + timedelta(minutes=3)),
-        message("payments", 5, {}, key="order-123", ts=T0 + timedelta(minutes=4)),
-        message("other", 6, {"order_id": "order-123"}),
+        message("orders", 1, {"order_id": "LN-9"}, key="LN-9", headers={"trace_id": "RQ-77"}, ts=T0 + timedelta(minutes=1)),
+        message("payments", 2, {"payment_id": "p"}, key="PM-3", headers={"trace_id": "RQ-77"}),
+        message("payments", 3, {"causedBy": "LN-9"}, ts=T0 + timedelta(minutes=2)),
+        message("payments", 4, {"parentId": "LN-9", "source_id": "RQ-77"}, ts=T0 + timedelta(minutes=3)),
+        message("payments", 5, {}, key="LN-9", ts=T0 + timedelta(minutes=4)),
+        message("other", 6, {"order_id": "LN-9"}),
     )
 
 
 def test_chain_and_details(trace):
-    seeds = b.search_messages(trace, "order-123", topics=["orders"])
-    found = b.correlate(trace, seeds, ["payments"]).collect()
+    seeds = b.search_messages(trace, "LN-9", topics=["orders"])
+    found = b.correlate(trace, seeds, ["payments"], limit=500).collect()
     assert [(r["offset"], r["correlation_chain"]) for r in found] == [
-        (2, ["trace-abc"]), (1, []), (4, ["order-123"]), (5, ["order-123"]),
+        (2, ["RQ-77"]), (1, []), (4, ["LN-9"]), (5, ["LN-9"]),
     ]
     detail = found[0]["correlation_details"][0].asDict()
     assert detail == {
-        "id": "trace-abc", "direction": "forward", "field": "header:trace_id", "extraction_method": "standard",
+        "id": "RQ-77", "direction": "forward", "field": "header:trace_id", "extraction_method": "standard",
         "timestamp": "2026-06-08T12:00:00+00:00",
     }
-    assert found[0]["headers"] == {"trace_id": "trace-abc"} and found[0]["key"] == "payment-456"
-    both = {r["offset"]: r["correlation_details"] for r in b.correlate(trace, seeds, ["payments"], bidirectional=True).collect()}
+    assert found[0]["headers"] == {"trace_id": "RQ-77"} and found[0]["key"] == "PM-3"
+    both = {r["offset"]: r["correlation_details"] for r in b.correlate(trace, seeds, ["payments"], bidirectional=True, limit=500).collect()}
     assert set(both) == {1, 2, 3, 4, 5}  # backward off is a subset of backward on
     assert (both[3][0]["direction"], both[3][0]["field"]) == ("backward", "value:causedBy")
     assert both[3][0]["extraction_method"] == "backward_reference"
     assert (both[4][0]["direction"], both[4][0]["field"]) == ("forward", "value:parentId")
-    report = correlation_report(b.correlate(trace, seeds, ["payments"])).collect()
-    assert report[0]["Chain"] == "trace-abc" and report[1]["Key"] == "order-123"
+    report = correlation_report(b.correlate(trace, seeds, ["payments"], limit=500)).collect()
+    assert report[0]["Chain"] == "RQ-77" and report[1]["Key"] == "LN-9"
 
 
 def test_limits(bus):
@@ -123,11 +123,11 @@ def test_no_topics_no_ids_no_seeds(trace):
     seeds = b.enrich(trace.filter("topic = 'payments'")).withColumn("seed_pos", -F.col("offset"))
     assert [o for _, _, o in coords(b.correlate(trace, seeds, [], limit=3))] == [5, 4, 3]  # input order
     silent = b.enrich(trace.filter("offset = 3"))
-    assert chains(b.correlate(trace, silent, ["orders"])) == {("payments", 0, 3): []}
+    assert chains(b.correlate(trace, silent, ["orders"], limit=500)) == {("payments", 0, 3): []}
     assert b.correlate(trace, silent.limit(0), ["orders"]).count() == 0
     for bad in ({"max_depth": 0}, {"max_breadth": 0}):
         with pytest.raises(ValueError):
-            b.correlate(trace, silent, ["orders"], **bad)
+            b.correlate(trace, silent, ["orders"], **bad, limit=500)
 
 
 def test_patterns_lead_to_messages(bus):
@@ -211,7 +211,7 @@ def test_against_plain_evaluation(spark, bus, monkeypatch, seed, depth, breadth,
     first = raw.filter(F.col("offset").isin([m[1] for m in seeds]))
     if shuffled:  # large frontier: narrow references, shuffle join, payload joined back
         monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
-        monkeypatch.setattr(plan, "FEW_IDS", 0)
+        monkeypatch.setattr(plan, "PREFILTER_BYTES", 0)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         found = b.correlate(
@@ -224,6 +224,32 @@ def test_against_plain_evaluation(spark, bus, monkeypatch, seed, depth, breadth,
     assert got == expected(rows, seeds, ["b", "c", "a"], depth, breadth, bidirectional)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_one_row_for_coordinates_held_twice(bus, monkeypatch, small):
+    """An at-least-once archive: the same rows whatever the frontier's size, and the same of two different ones."""
+    twice = [message("b", 1, {"order_id": "o1"}, key="k")] * 2
+    differing = [message("b", 2, {"order_id": "o1", "n": n}, key="k") for n in (1, 2)]
+    raw = bus(message("a", 0, {"order_id": "o1"}, key="s"), *twice, *differing)
+    found = []
+    for prefilter, limit in ((4096, 64 << 20), (0, -1)):
+        monkeypatch.setattr(plan, "PREFILTER_BYTES", prefilter)
+        monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+        hits = b.correlate(raw, b.enrich(raw.filter("topic = 'a'")), ["b"], limit=10 if small else None)
+        found.append(sorted((r["topic"], r["offset"], bytes(r["raw"])) for r in hits.collect()))
+    assert found[0] == found[1] and [r[:2] for r in found[0]] == [("a", 0), ("b", 1), ("b", 2)]
+
+
+def test_references_are_narrow_until_they_are_reduced(bus):
+    raw = bus(message("a", 0, {"order_id": "o1"}, key="s"), message("b", 1, {"order_id": "o1"}, key="k"))
+    decoded = b.decode(b.normalize(raw.selectExpr("*", plan._COPY), keep=["_copy"]))
+    refs = plan.references(decoded, ["timestamp_utc", "_copy"], True)
+    found = plan._discover(refs, refs.select("ref_id").distinct())
+    assert not {"raw", "value", "headers", "raw_key"} & set(found.columns)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate variant_explode" not in text
+    assert all("raw#" not in line for line in text.splitlines() if "Aggregate(" in line)
+
+
 def test_hot_id_is_split(spark, bus, monkeypatch):
     """One id on a third of all rows: the shuffle join splits it over tasks, and nothing is lost."""
     rows = [message("logs", o, {"order_id": "hot" if o % 3 == 0 else f"o{o}"}, key=f"k{o}") for o in range(6000)]
@@ -259,15 +285,15 @@ def test_hot_id_is_split(spark, bus, monkeypatch):
 
 
 def test_summary_and_investigation(trace):
-    found = b.investigate(trace, "order-123", ["payments"], initial_topics=["orders"], bidirectional=True)
+    found = b.investigate(trace, "LN-9", ["payments"], initial_topics=["orders"], bidirectional=True, limit=500)
     rows = {r["id"]: r for r in b.correlation_summary(found).collect()}
-    assert rows["order-123"]["messages"] == 3 and rows["trace-abc"]["topics"] == ["payments"]
-    by_value = b.Bus(trace).investigate("order-123", ["payments"], key_field="value:order_id", initial_topics=["orders"], limit=2)
+    assert rows["LN-9"]["messages"] == 3 and rows["RQ-77"]["topics"] == ["payments"]
+    by_value = b.Bus(trace).investigate("LN-9", ["payments"], key_field="value:order_id", initial_topics=["orders"], limit=2)
     assert len(coords(by_value)) == 2
 
 
 def test_export_import_is_identity_and_seeds_a_correlation(spark, trace, tmp_path):
-    full = b.correlate(trace, b.search_messages(trace, "order-123", topics=["orders"]), ["payments"])
+    full = b.correlate(trace, b.search_messages(trace, "LN-9", topics=["orders"]), ["payments"], limit=500)
     b.write_json(full, str(tmp_path / "out"))
     back = b.read_json(spark, str(tmp_path / "out"))
     columns = [c for c in back.columns if c not in ("value", "key_decoded")]
@@ -277,7 +303,7 @@ def test_export_import_is_identity_and_seeds_a_correlation(spark, trace, tmp_pat
         return sorted(map(str, rows.collect()))
 
     assert plain(back) == plain(full)
-    again = b.correlate(trace, back.filter("topic = 'orders'"), ["payments"])
+    again = b.correlate(trace, back.filter("topic = 'orders'"), ["payments"], limit=500)
     assert chains(again) == chains(full)
     zulu = spark.createDataFrame([('{"topic":"t","timestamp_utc":"2026-06-08T12:00:00.5Z","raw":""}',)], "value string")
     assert str(b.import_json(zulu).first()["timestamp_utc"]) == "2026-06-08 12:00:00.500000"

@@ -4,8 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog import oracle
+from catalog import queries as registered
 
 DIR = "/root/testdata/sf0.001"
+# Their point is that nothing is found.
+EMPTY = {"search_no_topics", "search_unknown_field", "coordinates_held_twice"}
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
@@ -23,16 +27,17 @@ def rows(columns, data):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registered.queries()) == set(oracle.oracle_sql())
+    assert set(registered.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registered.queries()))
 def test_query(spark, sql, name):
     found = entry.queries()[name](spark, DIR)
     result = sql.execute(entry.oracle_sql()[name])
     wanted = rows([d[0] for d in result.description], result.fetchall())
     assert rows(found.columns, [tuple(r) for r in found.collect()]) == wanted
-    assert wanted[1]
+    assert wanted[1] or name in EMPTY
 
 
 def test_entry(spark):

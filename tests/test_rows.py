@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import bustrace as b
 from bustrace.functions.framing import schema_id_sql
-from bustrace.functions.params import clamp_limit, parse_headers, parse_iso_utc, parse_topics
+from bustrace.functions.params import parse_headers, parse_iso_utc, parse_list
 from bustrace.functions.text import float_sql, leaf_sql, path_equals, payload_may_hold
 
 
@@ -139,6 +139,5 @@ def test_parameters():
     assert parse_iso_utc(None, "x") is None
     with pytest.raises(ValueError, match="time_to"):
         parse_iso_utc("yesterday", "time_to")
-    assert parse_topics(" a, ,b ") == ["a", "b"] and parse_topics(None) is None
+    assert parse_list(" a, ,b ") == ["a", "b"] and parse_list(None) is None
     assert parse_headers("k=v, x = y=z ,bad") == {"k": "v", "x": "y=z"}
-    assert [clamp_limit(n) for n in (-1, 0, 500, 99999)] == [1, 1, 500, 10000]

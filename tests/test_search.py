@@ -7,7 +7,7 @@ from conftest import T0, coords, message
 from pyspark.sql import functions as F
 
 import bustrace as b
-from bustrace.operators.offsets import scan_bounds
+from bustrace.operators import search
 
 
 def at(minutes):
@@ -33,14 +33,14 @@ def raw(bus):
 
 
 def test_key_field(raw):
-    assert coords(b.search_messages(raw, "k1")) == [("orders", 0, 1), ("orders", 0, 0), ("payments", 0, 1)]
+    assert coords(b.search_messages(raw, "k1", limit=500)) == [("orders", 0, 1), ("orders", 0, 0), ("payments", 0, 1)]
     assert coords(b.search_messages(raw, "k1", key_field="key", topics=["__internal"])) == [("__internal", 0, 0)]
-    assert offsets(b.search_messages(raw, "a", key_field="header:h")) == [2, 0]
-    assert coords(b.search_messages(raw, "O1", key_field="value:order_id")) == [("payments", 1, 0), ("orders", 0, 0)]
-    assert offsets(b.search_messages(raw, "5", key_field="value:n.x")) == [0]
-    assert offsets(b.search_messages(raw, "True", key_field="value:ok")) == [0]
+    assert offsets(b.search_messages(raw, "a", key_field="header:h", limit=500)) == [2, 0]
+    assert coords(b.search_messages(raw, "O1", key_field="value:order_id", limit=500)) == [("payments", 1, 0), ("orders", 0, 0)]
+    assert offsets(b.search_messages(raw, "5", key_field="value:n.x", limit=500)) == [0]
+    assert offsets(b.search_messages(raw, "True", key_field="value:ok", limit=500)) == [0]
     for nothing in ("body:order_id", "header", "value", "", "header:none", "value:order_id.x"):
-        assert offsets(b.search_messages(raw, "O1", key_field=nothing)) == []
+        assert offsets(b.search_messages(raw, "O1", key_field=nothing, limit=500)) == []
 
 
 def test_result_is_a_full_message(raw):
@@ -50,10 +50,10 @@ def test_result_is_a_full_message(raw):
 
 
 def test_headers_topics_and_limits(raw):
-    assert offsets(b.search_messages(raw, "k1", headers={"h": "a", "g": "1"})) == [0]
-    assert offsets(b.search_messages(raw, "k1", headers={"h": "a", "g": "2"})) == []
-    assert len(offsets(b.search_messages(raw, "k1", headers={}))) == 3
-    assert offsets(b.search_messages(raw, "k1", topics=[])) == [] == offsets(b.search_messages(raw, "k1", limit=0))
+    assert offsets(b.search_messages(raw, "k1", headers={"h": "a", "g": "1"}, limit=500)) == [0]
+    assert offsets(b.search_messages(raw, "k1", headers={"h": "a", "g": "2"}, limit=500)) == []
+    assert len(offsets(b.search_messages(raw, "k1", headers={}, limit=500))) == 3
+    assert offsets(b.search_messages(raw, "k1", topics=[], limit=500)) == [] == offsets(b.search_messages(raw, "k1", limit=0))
     # scan order decides which match survives, time decides the order of the result
     assert coords(b.search_messages(raw, "k1", limit=1)) == [("orders", 0, 0)]
     assert coords(b.search_messages(raw, "k1", topics=["payments", "orders"], limit=2)) == [("orders", 0, 0), ("payments", 0, 1)]
@@ -61,11 +61,11 @@ def test_headers_topics_and_limits(raw):
 
 
 def test_window(raw):
-    assert offsets(b.search_messages(raw, "k1", time_from=at(1), time_to=at(3))) == [1]  # start in, end out
-    assert offsets(b.search_messages(raw, "k1", time_from=at(5))) == [1]
-    assert offsets(b.search_messages(raw, "late")) == []  # the default end is now
-    assert offsets(b.search_messages(raw, "late", time_to=datetime(3000, 1, 1))) == [2]
-    assert offsets(b.search_messages(raw, "undated")) == [3] and offsets(b.search_messages(raw, "undated", time_from=at(0))) == []
+    assert offsets(b.search_messages(raw, "k1", time_from=at(1), time_to=at(3), limit=500)) == [1]  # start in, end out
+    assert offsets(b.search_messages(raw, "k1", time_from=at(5), limit=500)) == [1]
+    assert offsets(b.search_messages(raw, "late", limit=500)) == []  # the default end is now
+    assert offsets(b.search_messages(raw, "late", time_to=datetime(3000, 1, 1), limit=500)) == [2]
+    assert offsets(b.search_messages(raw, "undated", limit=500)) == [3] and offsets(b.search_messages(raw, "undated", time_from=at(0), limit=500)) == []
 
 
 def test_seek(bus):
@@ -81,20 +81,49 @@ def test_seek(bus):
         b.search_messages(raw, "k", mode="other")
 
 
-def test_max_scan(bus):
-    """Records are counted in offset order over gaps, before the time filter, in every partition."""
-    gaps = [0, 1, 7, 8, 1000, 50_000, 50_001, 2**50]
+def test_offset_range(bus):
+    """Start inclusive, stop exclusive, in every partition."""
+    offsets = [0, 1, 7, 8, 1000, 2**50]
     raw = bus(
-        *[message("t", o, {}, key="k", ts=at(o % 2)) for o in gaps],
+        *[message("t", o, {}, key="k") for o in offsets],
         *[message("t", o, {}, key="k", partition=1) for o in range(3)],
     )
-    for n in range(1, 9):
-        found = b.search_messages(raw, "k", max_scan=n, limit=None)
-        expected = [("t", 0, o) for o in gaps[:n]] + [("t", 1, o) for o in range(min(n, 3))]
-        assert sorted(coords(found)) == expected
-    late = b.search_messages(raw, "k", max_scan=4, time_from=at(1), limit=None)
-    assert sorted(coords(late)) == [("t", 0, o) for o in gaps[1:5] if o % 2]
-    assert scan_bounds(raw, None, 2).count() == 2
+    found = b.search_messages(raw, "k", start_offset=1, stop_offset=1000)
+    assert sorted(coords(found)) == [("t", 0, o) for o in (1, 7, 8)] + [("t", 1, 1), ("t", 1, 2)]
+    assert sorted(coords(b.search_messages(raw, "k", start_offset=1000))) == [("t", 0, 1000), ("t", 0, 2**50)]
+    assert sorted(coords(b.search_messages(raw, "k", stop_offset=1))) == [("t", 0, 0), ("t", 1, 0)]
+
+
+def test_bounds_reach_the_scan(spark, bus, tmp_path):
+    path = str(tmp_path / "bus")
+    b.write_archive(bus(*[message(t, o, {}, key="k", ts=at(o % 50)) for t in "ab" for o in range(200)]), path)
+    raw = b.read_archive(spark, path)
+
+    def pushed(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    plan = pushed(b.search_messages(raw, "k", start_offset=50, stop_offset=60))
+    assert "GreaterThanOrEqual(offset,50)" in plan and "LessThan(offset,60)" in plan
+    wanted = spark.createDataFrame([("a", 0, 70), ("a", 0, 75)], "topic string, partition int, offset long")
+    plan = pushed(b.get_messages(raw, wanted))
+    assert "GreaterThanOrEqual(offset,70)" in plan and "LessThan(offset,76)" in plan and "topic#" in plan
+    plan = pushed(b.search_messages(raw, "k", topics=["b"], time_from=at(30), mode="seek"))
+    assert "GreaterThanOrEqual(offset,30)" in plan
+
+
+def test_nothing_is_left_out_unasked(bus):
+    raw = bus(*[message("t", o, {}, key="k") for o in range(700)])
+    assert b.search_messages(raw, "k").count() == 700
+
+
+@pytest.mark.parametrize("n", [1, 99, 100, 101, 450, 999, 1000, 5000])
+def test_a_large_limit_is_found_by_counts(spark, monkeypatch, n):
+    monkeypatch.setattr(search, "MERGED_ROWS", 0)
+    rows = spark.range(1000, numPartitions=7).selectExpr("id", "id % 10 as k")
+    found = search.first_rows(rows, ["k", F.desc("id")], n)
+    assert sorted((r["k"], -r["id"]) for r in found.collect()) == sorted((i % 10, -i) for i in range(1000))[:n]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert n >= 1000 or "Sort" in plan or plan.count("GlobalLimit") <= 1
 
 
 def test_search_many_is_the_union_of_searches(spark, raw):
@@ -165,5 +194,5 @@ def test_filters_reach_the_scan(spark, raw, tmp_path):
 
 def test_limited_results_are_not_sorted_as_a_whole(raw):
     for field in (None, "header:h", "value:order_id"):
-        plan = b.search_messages(raw, "O1", key_field=field)._jdf.queryExecution().executedPlan().toString()
+        plan = b.search_messages(raw, "O1", key_field=field, limit=500)._jdf.queryExecution().executedPlan().toString()
         assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
