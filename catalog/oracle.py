@@ -5,8 +5,8 @@ The bus is written down as plain relations (messages, references, identifiers),
 
 from __future__ import annotations
 
-_LINE_OFFSET = """(date_diff('day', date '1970-01-01', l_shipdate::date)::bigint * 281474976710656
-  + ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 12))::bigint)"""
+_LINE_OFFSET = """(date_diff('day', date '1970-01-01', l_shipdate::date)::bigint * 140737488355328
+  + (('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 12))::bigint >> 1))"""
 
 
 def _place(topic: str, id_: str, offset: str | None = None) -> str:
@@ -341,7 +341,7 @@ from marks union all select 'empty', 0, 7, 0, 0"""
   case when m.topic is not null then 'found' when k.topic is null then 'unknown_partition'
     when c."offset" < earliest or c."offset" >= latest then 'out_of_range' else 'missing' end as lookup_status
 from (select 'orders' as topic, (c_custkey % 5)::int as "partition", c_custkey * 5 as "offset" from customer
-  union all select 'shipments', (c_custkey % 4)::int, 10000 * 281474976710656 + c_custkey from customer) c
+  union all select 'shipments', (c_custkey % 4)::int, 10000 * 140737488355328 + c_custkey from customer) c
 left join plain m using ({_COORDS}) left join marks k on k.topic = c.topic and k."partition" = c."partition" """
         ),
         "export_json": _with(

@@ -226,7 +226,6 @@ def search_seek(spark, sf_dir):
         _plain(spark, sf_dir),
         "web",
         key_field="header:source",
-        topics=["orders"],
         time_from=datetime(2001, 6, 1),
         limit=None,
         mode="seek",
@@ -278,7 +277,7 @@ def _order_keys(spark, sf_dir):
 
 @query
 def search_many(spark, sf_dir):
-    raw = _plain(spark, sf_dir, ["shipments"])
+    raw = _plain(spark, sf_dir)
     return flat(b.search_many(raw, _order_keys(spark, sf_dir), key_field="value:orderId"), "search_key")
 
 
@@ -290,20 +289,20 @@ def search_many_keys(spark, sf_dir):
 
 @query
 def search_many_top(spark, sf_dir):
-    raw = _plain(spark, sf_dir, ["shipments"])
+    raw = _plain(spark, sf_dir)
     keys = table(spark, sf_dir, "supplier").select(F.format_string("SUP-%d", "s_suppkey").alias("key"))
     return flat(b.search_many(raw, keys, key_field="value:shipment.supplier", limit_per_key=3), "search_key")
 
 
 @query
 def scan_partition(spark, sf_dir):
-    messages = b.decode(b.normalize(_plain(spark, sf_dir, ["activity"])))
+    messages = b.decode(b.normalize(_plain(spark, sf_dir)))
     return flat(b.scan_partition(messages, "USR-7"))
 
 
 @query
 def search_report(spark, sf_dir):
-    return report.search_report(b.search_messages(_plain(spark, sf_dir), "USR-7", topics=["activity"], limit=None))
+    return report.search_report(b.search_messages(_plain(spark, sf_dir), "USR-7"))
 
 
 # --- Lookup ---------------------------------------------------------------------------------------------------------
@@ -323,7 +322,7 @@ def get_messages(spark, sf_dir):
     gaps = customers.select(
         F.lit("shipments").alias("topic"),
         (c % 4).cast("int").alias("partition"),
-        (F.shiftleft(F.lit(10000).cast("bigint"), 48) + c).alias("offset"),
+        (F.shiftleft(F.lit(10000).cast("bigint"), 47) + c).alias("offset"),
     )
     found = b.get_messages(_plain(spark, sf_dir), coords.union(gaps))
     return found.select(*COORDS, "lookup_status", "key", "keys.customer_id")
