@@ -23,19 +23,20 @@ def with_evidence(df: DataFrame, aliases: dict[str, list[str]] = EVIDENCE_ALIASE
 
     Each identifier is the first non-null alias in the value, else the first alias in the headers.
     """
-    spellings = {a: f"_alias{i}" for i, a in enumerate(a for names in aliases.values() for a in names)}
-    leaves = {column: F.expr(f"""try_variant_get(value, '$["{a}"]', 'variant')""") for a, column in spellings.items()}
+    spellings = list(dict.fromkeys(a for names in aliases.values() for a in names))
+    # All spellings come out of the value in one step.
+    members = f"try_variant_get(value, '$', 'struct<{', '.join(f'`{a}`: variant' for a in spellings)}>')"
     first, texts = {}, []
     for name, names in aliases.items():
-        in_value = ", ".join(f"if(is_variant_null({spellings[a]}), null, {spellings[a]})" for a in names)
+        in_value = ", ".join(f"if(is_variant_null(_members.`{a}`), null, _members.`{a}`)" for a in names)
         in_headers = ", ".join(f"try_element_at(headers, {quote(a)})" for a in names)
         first[f"_{name}"] = F.expr(f"coalesce({in_value})")
         texts.append(f"coalesce(if(_{name} is null, null, {leaf_sql(f'_{name}')}), {in_headers}) as {name}")
     # One projection per step: the members, the first of each identifier, its text.
     return (
-        df.withColumns(leaves)
+        df.withColumn("_members", F.expr(members))
         .withColumns(first)
-        .drop(*leaves)
+        .drop("_members")
         .withColumns(
             {
                 "keys": F.expr(f"struct({', '.join(texts)})"),

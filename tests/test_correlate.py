@@ -73,18 +73,18 @@ def test_jsonpath_ids(bus):
 @pytest.fixture(scope="module")
 def trace(bus):
     return bus(
-        message("orders", 1, {"order_id": "LN-9"}, key="LN-9", headers={"trace_id": "RQ-77"}, ts=T0 + timedelta(minutes=1)),
-        message("payments", 2, {"payment_id": "p"}, key="PM-3", headers={"trace_id": "RQ-77"}),
-        message("payments", 3, {"causedBy": "LN-9"}, ts=T0 + timedelta(minutes=2)),
-        message("payments", 4, {"parentId": "LN-9", "source_id": "RQ-77"}, ts=T0 + timedelta(minutes=3)),
-        message("payments", 5, {}, key="LN-9", ts=T0 + timedelta(minutes=4)),
-        message("other", 6, {"order_id": "LN-9"}),
+        message("loans", 1, {"order_id": "LN-9"}, key="LN-9", headers={"trace_id": "RQ-77"}, ts=T0 + timedelta(minutes=1)),
+        message("ledger", 2, {"payment_id": "p"}, key="PM-3", headers={"trace_id": "RQ-77"}),
+        message("ledger", 3, {"causedBy": "LN-9"}, ts=T0 + timedelta(minutes=2)),
+        message("ledger", 4, {"parentId": "LN-9", "source_id": "RQ-77"}, ts=T0 + timedelta(minutes=3)),
+        message("ledger", 5, {}, key="LN-9", ts=T0 + timedelta(minutes=4)),
+        message("misc", 6, {"order_id": "LN-9"}),
     )
 
 
 def test_chain_and_details(trace):
-    seeds = b.search_messages(trace, "LN-9", topics=["orders"])
-    found = b.correlate(trace, seeds, ["payments"], limit=500).collect()
+    seeds = b.search_messages(trace, "LN-9", topics=["loans"])
+    found = b.correlate(trace, seeds, ["ledger"], limit=500).collect()
     assert [(r["offset"], r["correlation_chain"]) for r in found] == [
         (2, ["RQ-77"]), (1, []), (4, ["LN-9"]), (5, ["LN-9"]),
     ]
@@ -94,23 +94,23 @@ def test_chain_and_details(trace):
         "timestamp": "2026-06-08T12:00:00+00:00",
     }
     assert found[0]["headers"] == {"trace_id": "RQ-77"} and found[0]["key"] == "PM-3"
-    both = {r["offset"]: r["correlation_details"] for r in b.correlate(trace, seeds, ["payments"], bidirectional=True, limit=500).collect()}
+    both = {r["offset"]: r["correlation_details"] for r in b.correlate(trace, seeds, ["ledger"], bidirectional=True, limit=500).collect()}
     assert set(both) == {1, 2, 3, 4, 5}  # backward off is a subset of backward on
     assert (both[3][0]["direction"], both[3][0]["field"]) == ("backward", "value:causedBy")
     assert both[3][0]["extraction_method"] == "backward_reference"
     assert (both[4][0]["direction"], both[4][0]["field"]) == ("forward", "value:parentId")
-    report = correlation_report(b.correlate(trace, seeds, ["payments"], limit=500)).collect()
+    report = correlation_report(b.correlate(trace, seeds, ["ledger"], limit=500)).collect()
     assert report[0]["Chain"] == "RQ-77" and report[1]["Key"] == "LN-9"
 
 
 def test_limits(bus):
-    rows = [message("orders", 0, None, headers={"trace_id": "X"}), message("orders", 1, None, headers={"trace_id": "X"}, ts=T0 - timedelta(days=1))]
+    rows = [message("loans", 0, None, headers={"trace_id": "X"}), message("loans", 1, None, headers={"trace_id": "X"}, ts=T0 - timedelta(days=1))]
     raw = bus(*rows, *[message("logs", o, None, headers={"trace_id": "X"}, ts=T0 + timedelta(minutes=20 - o)) for o in range(10)])
-    seeds = b.enrich(raw.filter("topic = 'orders'"))
+    seeds = b.enrich(raw.filter("topic = 'loans'"))
     assert coords(b.correlate(raw, seeds, ["logs"], limit=5)) == [
-        ("orders", 0, 1), ("orders", 0, 0), ("logs", 0, 2), ("logs", 0, 1), ("logs", 0, 0),
+        ("loans", 0, 1), ("loans", 0, 0), ("logs", 0, 2), ("logs", 0, 1), ("logs", 0, 0),
     ]
-    assert coords(b.correlate(raw, seeds, ["logs"], limit=1)) == [("orders", 0, 1)]
+    assert coords(b.correlate(raw, seeds, ["logs"], limit=1)) == [("loans", 0, 1)]
     assert b.correlate(raw, seeds, ["logs"], limit=0).count() == 0
     previous = set()
     for n in (1, 2, 5, 12):  # a smaller limit gives a part of a larger one
@@ -120,14 +120,14 @@ def test_limits(bus):
 
 
 def test_no_topics_no_ids_no_seeds(trace):
-    seeds = b.enrich(trace.filter("topic = 'payments'")).withColumn("seed_pos", -F.col("offset"))
+    seeds = b.enrich(trace.filter("topic = 'ledger'")).withColumn("seed_pos", -F.col("offset"))
     assert [o for _, _, o in coords(b.correlate(trace, seeds, [], limit=3))] == [5, 4, 3]  # input order
     silent = b.enrich(trace.filter("offset = 3"))
-    assert chains(b.correlate(trace, silent, ["orders"], limit=500)) == {("payments", 0, 3): []}
-    assert b.correlate(trace, silent.limit(0), ["orders"]).count() == 0
+    assert chains(b.correlate(trace, silent, ["loans"], limit=500)) == {("ledger", 0, 3): []}
+    assert b.correlate(trace, silent.limit(0), ["loans"]).count() == 0
     for bad in ({"max_depth": 0}, {"max_breadth": 0}):
         with pytest.raises(ValueError):
-            b.correlate(trace, silent, ["orders"], **bad, limit=500)
+            b.correlate(trace, silent, ["loans"], **bad, limit=500)
 
 
 def test_patterns_lead_to_messages(bus):
@@ -188,7 +188,7 @@ def random_bus(seed, n=120):
     pool = [f"id{i}" for i in range(25)] + ["None", "7"]
 
     def value():
-        names = rng.sample([*ID_FIELDS[:6], "orderId", "customer_id", "parent_id", "sourceId", "msisdn", "phone", "other"], rng.randint(0, 3))
+        names = rng.sample([*ID_FIELDS[:6], "orderId", "customer_id", "parent_id", "sourceId", "msisdn", "phone", "misc"], rng.randint(0, 3))
         return {f: rng.choice([*pool, 7, None, True]) if rng.random() < 0.9 else "hot" for f in names}
 
     return [
@@ -254,7 +254,7 @@ def test_hot_id_is_split(spark, bus, monkeypatch):
     """One id on a third of all rows: the shuffle join splits it over tasks, and nothing is lost."""
     rows = [message("logs", o, {"order_id": "hot" if o % 3 == 0 else f"o{o}"}, key=f"k{o}") for o in range(6000)]
     raw = bus(*rows).repartition(16, "offset")
-    seeds = b.enrich(bus(*[message("orders", o, {"order_id": "hot" if o % 3 == 0 else f"o{o}"}) for o in range(0, 6000, 3)]))
+    seeds = b.enrich(bus(*[message("loans", o, {"order_id": "hot" if o % 3 == 0 else f"o{o}"}) for o in range(0, 6000, 3)]))
     monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -285,15 +285,15 @@ def test_hot_id_is_split(spark, bus, monkeypatch):
 
 
 def test_summary_and_investigation(trace):
-    found = b.investigate(trace, "LN-9", ["payments"], initial_topics=["orders"], bidirectional=True, limit=500)
+    found = b.investigate(trace, "LN-9", ["ledger"], initial_topics=["loans"], bidirectional=True, limit=500)
     rows = {r["id"]: r for r in b.correlation_summary(found).collect()}
-    assert rows["LN-9"]["messages"] == 3 and rows["RQ-77"]["topics"] == ["payments"]
-    by_value = b.Bus(trace).investigate("LN-9", ["payments"], key_field="value:order_id", initial_topics=["orders"], limit=2)
+    assert rows["LN-9"]["messages"] == 3 and rows["RQ-77"]["topics"] == ["ledger"]
+    by_value = b.Bus(trace).investigate("LN-9", ["ledger"], key_field="value:order_id", initial_topics=["loans"], limit=2)
     assert len(coords(by_value)) == 2
 
 
 def test_export_import_is_identity_and_seeds_a_correlation(spark, trace, tmp_path):
-    full = b.correlate(trace, b.search_messages(trace, "LN-9", topics=["orders"]), ["payments"], limit=500)
+    full = b.correlate(trace, b.search_messages(trace, "LN-9", topics=["loans"]), ["ledger"], limit=500)
     b.write_json(full, str(tmp_path / "out"))
     back = b.read_json(spark, str(tmp_path / "out"))
     columns = [c for c in back.columns if c not in ("value", "key_decoded")]
@@ -303,7 +303,7 @@ def test_export_import_is_identity_and_seeds_a_correlation(spark, trace, tmp_pat
         return sorted(map(str, rows.collect()))
 
     assert plain(back) == plain(full)
-    again = b.correlate(trace, back.filter("topic = 'orders'"), ["payments"], limit=500)
+    again = b.correlate(trace, back.filter("topic = 'loans'"), ["ledger"], limit=500)
     assert chains(again) == chains(full)
     zulu = spark.createDataFrame([('{"topic":"t","timestamp_utc":"2026-06-08T12:00:00.5Z","raw":""}',)], "value string")
     assert str(b.import_json(zulu).first()["timestamp_utc"]) == "2026-06-08 12:00:00.500000"
