@@ -324,15 +324,14 @@ def _confirmed(sets: DataFrame) -> DataFrame:
         return F.xxhash64("cluster", F.pmod(F.xxhash64(F.lit(seed), "node"), F.col("blocks")))
 
     found = store(_confirm(large.withColumn("block", block(1)).select("block", *_ROW)), "minhash-links")
-    for seed in (2, 3):  # witnesses of each part, dealt to other blocks
-        large = _in_parts(rows.filter("blocks > 1"), found)
-        rank = F.row_number().over(Window.partitionBy("part").orderBy(F.xxhash64(F.lit(seed), "node")))
-        narrow = large.select("cluster", "node", "part").withColumn("rank", rank).filter(F.col("rank") <= WITNESSES)
-        count = narrow.groupBy("cluster").agg(F.ceil(F.count(one) / BLOCK_ROWS).cast("long").alias("blocks"))
-        count = count.filter(F.col("blocks") >= 1)
-        chosen = narrow.select("cluster", "node").join(count, ["cluster"])
-        chosen = large.drop("blocks").join(chosen, ["cluster", "node"]).withColumn("block", block(seed))
-        found = store(found.unionByName(_confirm(chosen.select("block", *_ROW))), "minhash-links")
+    # Witnesses of each part, dealt to other blocks: they join what the blocks have kept apart.
+    large = _in_parts(large, found)
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.xxhash64(F.lit(2), "node")))
+    narrow = large.select("cluster", "node", "part").withColumn("rank", rank).filter(F.col("rank") <= WITNESSES)
+    count = narrow.groupBy("cluster").agg(F.ceil(F.count(one) / BLOCK_ROWS).cast("long").alias("blocks"))
+    chosen = narrow.select("cluster", "node").join(count, "cluster")
+    chosen = large.drop("blocks").join(chosen, ["cluster", "node"]).withColumn("block", block(2))
+    found = store(found.unionByName(_confirm(chosen.select("block", *_ROW))), "minhash-links")
     large = store(_in_parts(rows.filter("blocks > 1"), found).drop("shingles"), "minhash-parts")
     largest = large.groupBy("cluster", "part").agg(F.count(one).alias("k"))
     largest = largest.groupBy("cluster").agg(F.max(F.struct("k", "part"))["part"].alias("largest"))
