@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import bustrace as b
 from bustrace.model import SCHEMAS_SCHEMA
 from bustrace.operators.wire import compile_avro, message_index
+from bustrace.streaming.matches import stream_archive
 
 ORDER = json.dumps(
     {
@@ -126,3 +127,17 @@ def test_message_index():
     assert message_index(b"\x02\x01\x00x") == ([1, 0], b"x")
     with pytest.raises(ValueError):
         message_index(b"\x80")
+
+
+@pytest.mark.parametrize("snapshot_bytes", [1 << 20, 0])
+def test_a_stream_is_decoded_like_a_table(spark, bus, schemas, tmp_path, snapshot_bytes):
+    raw = bus(message("t", 0, frame(1, b"\x02A\x02\x02B")), message("t", 1, frame(9, b"")), message("t", 2, {"a": 1}))
+    raw.write.parquet(str(tmp_path / "in"))
+    stream = b.enrich(stream_archive(spark, str(tmp_path / "in")), schemas=schemas, snapshot_bytes=snapshot_bytes)
+    stream = stream.select("offset", "decode_status", F.to_json("value").alias("v"))
+    name = f"decoded_{snapshot_bytes}"
+    query = stream.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start().awaitTermination(120)
+    table = b.enrich(raw, schemas=schemas).select("offset", "decode_status", F.to_json("value").alias("v"))
+    assert sorted(spark.table(name).collect()) == sorted(table.collect())
+    assert [r["decode_status"] for r in sorted(table.collect())] == ["ok", "error", "ok"]

@@ -141,3 +141,9 @@ def test_parameters():
         parse_iso_utc("yesterday", "time_to")
     assert parse_list(" a, ,b ") == ["a", "b"] and parse_list(None) is None
     assert parse_headers("k=v, x = y=z ,bad") == {"k": "v", "x": "y=z"}
+
+
+def test_a_forged_end_mark_is_an_error(bus):
+    raw = bus(message("t", 0, '{"a":1},"␄end-of-payload"'), message("t", 1, '{"a":1},2'), message("t", 2, '{"a":1}'))
+    found = b.decode(b.normalize(raw)).select("offset", "decode_status").collect()
+    assert [s for _, s in sorted(found)] == ["error", "error", "ok"]
