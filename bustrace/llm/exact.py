@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bustrace.llm.batches import bounded_batches
 from bustrace.session import BROADCAST_BYTES, store
 
 HASH, SHA, KEY, TEXT, COPIES = "__hash", "__sha", "__key", "__text", "__copies"
@@ -40,6 +41,7 @@ def with_hash(docs: DataFrame, text_col: str, digest: Callable[[bytes], bytes] =
     if text:
         schema = schema.add(TEXT, T.BinaryType())
     at = docs.columns.index(text_col)
+    bounded_batches(docs.sparkSession)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bustrace.llm.batches import bounded_batches
+
 UNDETERMINED = "und"
 BUCKET_BITS = 15
 CALIBRATION_ROWS = 4000  # expected number of training rows on which the bits' accuracy is measured
@@ -132,6 +134,7 @@ def _counted(texts: pa.Array) -> Iterator[tuple[list[int], np.ndarray]]:
 
 def learn(training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the rows with a language. What reaches the driver is bounded by languages times buckets."""
+    bounded_batches(training.sparkSession)
     labelled = training.filter(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")
     )
@@ -189,6 +192,7 @@ def predict(
     """``docs`` with the predicted language, its score and whether it is ambiguous, in columns of these names."""
     schema = T.StructType(list(docs.schema)).add(names[0], "string").add(names[1], "double").add(names[2], "boolean")
     place = docs.columns.index(text_col)
+    bounded_batches(docs.sparkSession)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

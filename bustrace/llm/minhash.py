@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bustrace.llm.batches import bounded_batches
 from bustrace.llm.components import components
 from bustrace.session import BROADCAST_BYTES, store
 
@@ -41,10 +42,10 @@ COORDINATES = 64
 MATCHES = 36
 FREQUENT = 1 << 15  # pairs whose frequency ranks them; all others rank before them, by name
 RARE = 4  # a pair seen less often among so many is left out:
-COUNTED_AT_ONCE = 1 << 22
+COUNTED_AT_ONCE = 1 << 20
 GROUP_ROWS = 1024
 BLOCK_ROWS = 512
-BLOCK_SHINGLES = 1 << 21
+BLOCK_SHINGLES = 1 << 20
 WITNESSES = 32  # members of a part that stand for it when the parts of a large cluster are joined
 HELD = 1 << 18
 
@@ -94,6 +95,7 @@ def _set_id(shingles: np.ndarray) -> bytes:
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE_WORDS) -> DataFrame:
     """(id, n_shingles, set_id, sig) of every document."""
+    bounded_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col]]).add("n_shingles", "long").add("set_id", "binary").add("sig", "binary")
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

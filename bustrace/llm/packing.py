@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bustrace.llm.batches import bounded_batches
 from bustrace.llm.vocabulary import END_OF_TEXT, ranks_encoder
 from bustrace.session import broadcast_if_small, store
 
@@ -88,6 +89,7 @@ def token_pieces(
     with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 and, on request, ids. The first piece is the short one."""
+    bounded_batches(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
     schema = T.StructType([docs.schema[id_col], T.StructField("piece", T.IntegerType())])
     schema = schema.add("start", "long").add("length", "long").add("ids_crc32", "long")

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from bustrace.llm.batches import bounded_batches
 from bustrace.llm.vocabulary import pieces_encoder
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -162,6 +163,7 @@ def count_tokens(
     path: str | None = None,
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_tokens, over_limit, and chars_within, the longest prefix within the limit."""
+    bounded_batches(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
     schema = T.StructType([docs.schema[id_col]]).add("n_bytes", "long").add("n_tokens", "long")
     schema = schema.add("over_limit", "boolean").add("chars_within", "long")

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bustrace.llm.batches import bounded_batches
+
 BUCKET_BITS = 20
 SAMPLE_ROWS = 8000  # expected number of training rows of each label at most
 RARE_WEIGHT = 0.4  # the toxic rows of the sample weigh at least so much of what the others do
@@ -82,6 +84,7 @@ def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> tuple[np.ndarray, np.ndarray]:
     """The model (buckets, weights) of the labelled documents."""
+    bounded_batches(docs.sparkSession)
     labels = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     labels = labels.groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("__toxic"))
     number = {r["__toxic"]: r["n"] for r in labels.groupBy("__toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -108,7 +111,7 @@ def learn(
         if not parts:
             return
         frame = pd.concat(parts).sort_values("o")
-        found = [np.frombuffer(x, np.uint32).astype(np.int64) for x in frame["x"]]
+        found = [np.frombuffer(x, np.uint32) for x in frame["x"]]
         bucket, weight = train(found, frame["y"].to_numpy(float), frame["w"].to_numpy(float))
         yield pd.DataFrame({"bucket": bucket, "weight": weight})
 
@@ -130,6 +133,7 @@ def score(
     buckets, weights = model
     schema = T.StructType(list(docs.schema)).add(names[0], "double").add(names[1], "integer")
     place = docs.columns.index(text_col)
+    bounded_batches(docs.sparkSession)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << BUCKET_BITS)
