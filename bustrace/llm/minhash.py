@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from bustrace.llm.batches import bounded_batches
 from bustrace.llm.components import components
-from bustrace.session import BROADCAST_BYTES, store
+from bustrace.session import BROADCAST_BYTES, broadcast_if_small, store
 
 SHINGLE_WORDS = 4
 SIMILARITY = 80  # per cent of the union
@@ -311,10 +311,11 @@ def _confirmed(sets: DataFrame) -> DataFrame:
     sizes = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
     parts = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("long")
     sizes = store(sizes.withColumn("blocks", parts), "minhash-clusters")
+    blocks = broadcast_if_small(sizes.select("cluster", "blocks"))
     total = sizes.filter("blocks = 1").agg(F.sum("s")).first()[0] or 0
     buckets = 2 * (total // BLOCK_SHINGLES) + 8
     one = F.lit(1)
-    rows = sets.join(sizes.select("cluster", "blocks"), "cluster").withColumn("part", F.col("node")).withColumn("side", one)
+    rows = sets.join(blocks, "cluster").withColumn("part", F.col("node")).withColumn("side", one)
     small = rows.filter("blocks = 1").withColumn("block", F.pmod(F.xxhash64("cluster"), F.lit(buckets)))
     links = _confirm(small.select("block", *_ROW))
     if sizes.filter("blocks > 1").isEmpty():
@@ -393,15 +394,19 @@ def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
     """One row of ``docs`` of each group, and all rows without shingles, with their columns."""
-    groups = near_groups(docs, id_col, text_col, shingle_words=shingle_words).filter("kept")
-    groups = groups.groupBy(F.col(id_col).alias("__id"), F.col("set_id").alias("__set"), F.col("group").alias("__group"))
-    groups = store(groups.agg(F.count(F.lit(1)).alias("__rows")), "minhash-kept")
-    repeated = docs.groupBy(F.col(id_col).alias("__id")).count().filter("count > 1").select("__id")
-    repeated = store(repeated, "minhash-repeated")  # normally empty
+    found = near_groups(docs, id_col, text_col, shingle_words=shingle_words)
+    found = found.select(F.col(id_col).alias("__id"), F.col("set_id").alias("__set"), F.col("group").alias("__group"), "kept")
+    found = store(found, "minhash-found")
+    repeated = store(found.groupBy("__id").count().filter("count > 1").select("__id"), "minhash-repeated")
     same = docs[id_col].eqNullSafe(F.col("__id"))
+    # What goes is much less than what stays; as long as it is small, no text is shuffled.
+    gone = broadcast_if_small(store(found.filter("not kept").select("__id"), "minhash-gone"))
     if repeated.isEmpty():
-        return docs.join(groups.select("__id"), same, "left_semi")
-    single = docs.join(repeated, same, "left_anti").join(groups.select("__id"), same, "left_semi")
+        return docs.join(gone, same, "left_anti")
+    # Rows that share an id are told apart by their sets.
+    repeated = broadcast_if_small(repeated)
+    single = docs.join(repeated, same, "left_anti").join(gone, same, "left_anti")
+    groups = found.filter("kept").drop("kept").join(repeated, found["__id"].eqNullSafe(repeated["__id"]), "left_semi").distinct()
     several = _with_set_id(docs.join(repeated, same, "left_semi"), text_col, shingle_words)
     on = several[id_col].eqNullSafe(F.col("__id")) & (F.col("__set_id") == F.col("__set"))
     several = several.join(groups, on)
