@@ -126,14 +126,21 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     calls = store(calls.select("conv_id", "call_id", "call.*", "n_calls"), "calls")
     result = F.min(F.struct("turn", "content")).alias("result")
     results = results.filter(ids).groupBy("conv_id", "call_id").agg(result, F.count(F.lit(1)).alias("n_results"))
+    result_turn = F.col("result.turn").alias("result_turn")
+    results = store(results.select("conv_id", "call_id", result_turn, F.col("result.content").alias("content"), "n_results"), "results")
     layers = topological_layers(calls.select("conv_id", "call_id", "needs"))
-    linked = calls.join(layers, ["conv_id", "call_id"], "left").join(results, ["conv_id", "call_id"], "full")
+    # Links and positions on narrow rows; texts are joined once, at the end.
+    linked = calls.select("conv_id", "call_id", "turn", "n_calls").join(layers, ["conv_id", "call_id"], "left")
+    linked = linked.join(results.drop("content"), ["conv_id", "call_id"], "full")
     status = F.when(F.col("n_calls").isNull(), "orphan").when(F.col("n_results").isNull(), "unanswered").otherwise("linked")
     copies = F.coalesce("n_calls", F.lit(0)) + F.coalesce("n_results", F.lit(0))
-    linked = linked.withColumns({"status": status, "copies": copies.cast("long"), "result_turn": F.col("result.turn")})
-    linked = linked.withColumn("first_turn", F.when(F.col("n_calls").isNull(), F.col("result_turn")).otherwise(F.col("turn")))
-    errors = F.when(F.col("n_calls").isNotNull(), argument_errors(F.col("name"), F.col("arguments"), schemas))
-    linked = _positions(linked.withColumn("errors", errors))
+    linked = linked.withColumns({"status": status, "copies": copies.cast("long")}).drop("n_calls", "n_results")
+    linked = linked.withColumn("first_turn", F.when(F.col("status") == "orphan", F.col("result_turn")).otherwise(F.col("turn")))
+    linked = store(_positions(linked), "calls-linked")
+    linked = linked.join(calls.drop("turn", "n_calls"), ["conv_id", "call_id"], "left")
+    linked = linked.join(results.select("conv_id", "call_id", "content"), ["conv_id", "call_id"], "left")
+    errors = argument_errors(F.col("name"), F.col("arguments"), schemas)
+    linked = linked.withColumn("errors", F.when(F.col("status") != "orphan", errors))
     parsed = F.when(F.from_json("arguments", "map<string,variant>").isNotNull(), F.to_json(F.try_parse_json("arguments")))
 
     def text(column: str) -> F.Column:  # a JSON string, by way of a list of one
@@ -145,7 +152,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
         "id": text("call_id"),
         "name": text("name"),
         "needs": F.to_json(F.array_sort(F.array_distinct("needs"))),
-        "result": text("result.content"),
+        "result": text("content"),
     }
     parts = [F.concat(F.lit(f'"{k}":'), F.coalesce(v, F.lit("null"))) for k, v in members.items()]
     return linked.select(
