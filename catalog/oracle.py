@@ -309,6 +309,14 @@ def oracle_sql() -> dict[str, str]:
         "archive_get_messages": _with(
             f"""select o.topic, o."partition", o."offset", "key", customer_id, 'found' as lookup_status
 from plain o where topic = 'orders' and "offset" % 10 = 0"""
+        ),
+        "archive_get_messages_all": _with(
+            f"""select c.topic, c."partition", c."offset", m."key", m.customer_id,
+  case when m.topic is not null then 'found' when k.topic is null then 'unknown_partition'
+    when c."offset" < earliest or c."offset" >= latest then 'out_of_range' else 'missing' end as lookup_status
+from (select {_COORDS} from plain union select topic, "partition", "offset" + 1 from plain
+  union select topic, "partition" + 4, earliest from marks) c
+left join plain m using ({_COORDS}) left join marks k on k.topic = c.topic and k."partition" = c."partition" """
         ),
         "coordinates_held_twice": _with(
             f"select topic, count(*) as twice from (select {_COORDS} from bus group by all having count(*) > 1) group by topic"

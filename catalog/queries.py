@@ -362,6 +362,17 @@ def archive_get_messages(spark, sf_dir):
     return b.get_messages(raw, coords).select(*COORDS, "lookup_status", "key", "keys.customer_id")
 
 
+@query
+def archive_get_messages_all(spark, sf_dir):
+    """Every coordinate of the archive, the offset behind each, and partitions that do not exist."""
+    raw = _archive(spark, sf_dir)
+    held = raw.select(*COORDS)
+    behind = held.withColumn("offset", F.col("offset") + 1)
+    absent = watermarks(raw).select("topic", (F.col("partition") + 4).alias("partition"), F.col("earliest").alias("offset"))
+    coords = held.union(behind).union(absent)
+    return b.get_messages(raw, coords).select(*COORDS, "lookup_status", "key", "keys.customer_id")
+
+
 @query
 def coordinates_held_twice(spark, sf_dir):
     """Coordinates that more than one message has, by topic."""
