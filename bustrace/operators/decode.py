@@ -66,10 +66,16 @@ def _framed_only(payload: str) -> Column:
     return F.expr(f"if({framed_sql(payload)}, {payload}, null)")
 
 
+def _one_per_id(schemas: DataFrame) -> DataFrame:
+    """One row per id, since a snapshot by subject and version repeats them: the largest, in which nulls come last."""
+    whole = F.max(F.struct("schema_type", "schema_str", "descriptor_set")).alias("_schema")
+    return schemas.groupBy("schema_id").agg(whole).select("schema_id", "_schema.*")
+
+
 def _add_framed(df: DataFrame, schemas: DataFrame, compilers: dict[str, Compiler], max_bytes: int) -> DataFrame:
     """Add ``_body`` and ``_key_body`` (text, error) for framed payloads and keys."""
     sides = {"_body": "raw", "_key_body": "raw_key"}
-    schemas = schemas.select("schema_id", "schema_type", "schema_str", "descriptor_set")
+    schemas = _one_per_id(schemas)
     if measure(schemas)[1] <= max_bytes:
         snapshot = {r[0]: tuple(r)[1:] for r in schemas.collect()}  # measured just above
         framed = _snapshot_udf(snapshot, compilers)

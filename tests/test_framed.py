@@ -85,6 +85,29 @@ def test_decode(bus, schemas, snapshot_bytes):
     assert rows[11]["v"] == '{"plain":true}' and rows[11]["k"] is None and rows[11]["schema_id"].asDict() == {"value": None, "key": 9}
 
 
+@pytest.mark.parametrize("snapshot_bytes", [1 << 20, 0])
+def test_repeated_schema_ids(spark, bus, snapshot_bytes):
+    other = json.dumps({"type": "record", "name": "Other", "fields": [{"name": "a_first", "type": "string"}]})
+    rows = [(1, "AVRO", ORDER, None), (1, "AVRO", ORDER, None), (1, "AVRO", None, None), (2, None, ORDER, None)]
+    rows += [(3, "PROTOBUF", None, order_descriptors()), (3, "PROTOBUF", None, None)]
+    rows += [(4, "AVRO", ORDER, None), (4, "AVRO", other, None)]
+    avro = b"\x02A\x02\x02B"
+    raw = bus(
+        message("t", 0, frame(1, avro), key=frame(1, avro)),
+        message("t", 1, frame(3, b"\0\x08\x05"), key=frame(2, avro)),
+        message("t", 2, frame(4, avro)),
+    )
+    want = '{"amount":1,"customer_id":"B","order_id":"A"}'
+    wanted = [(0, want, want), (1, '{"order_id":"5"}', want)]
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, SCHEMAS_SCHEMA)
+        found = b.decode(b.normalize(raw), table, snapshot_bytes=snapshot_bytes)
+        got = [tuple(r) for r in found.select("offset", F.to_json("value"), F.to_json("key_decoded")).collect()]
+        assert sorted(got)[:2] == wanted and len(got) == 3
+        # Different schemas under one id: the larger text, whatever the order of the rows.
+        assert ORDER > other and sorted(got)[2] == (2, want, None)
+
+
 def test_search_reaches_framed_values(bus, schemas):
     proto = b"\x01\x01" + b"\x08" + varint(7000000000) + b"\x12\x06\x08" + varint(9000000001)
     raw = bus(message("t", 0, frame(3, proto)), message("t", 1, {"payload": {"order_id": "9000000001"}}), message("t", 2, "{}"))
