@@ -210,6 +210,9 @@ def predict(
 
 
 def drop_undetermined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language, with their columns."""
+    """The rows of ``docs`` that have a language, with their columns; all rows where no language was learned."""
+    if not model.languages:
+        return docs
     names = ("__lang", "__score", "__ambiguous")
-    return predict(docs, model, text_col, names).filter(F.col("__lang") != UNDETERMINED).drop(*names)
+    # Only a text without letters has score 0; the label alone may be a learned one.
+    return predict(docs, model, text_col, names).filter(F.col("__score") > 0).drop(*names)

@@ -59,3 +59,14 @@ def test_no_or_one_language_and_empty_table(docs):
     assert got == ["en", "und"]
     assert langid.predict(docs(), one).collect() == []
     assert langid.learn(docs()).languages == []
+
+
+def test_nothing_learned_and_a_learned_und_drop_no_clean_rows(docs):
+    table = docs((1, "aaa bab"), (2, "ccc dcd"), (3, "1 2"))
+    none = langid.learn(docs((1, "a", None)))
+    assert sorted(r["doc_id"] for r in langid.drop_undetermined(table, none).collect()) == [1, 2, 3]
+    rows = [(i, t, x) for i in range(40) for t, x in (("aaa bab", "und"), ("ccc dcd", "y"))]
+    for training, languages in ((rows, ["und", "y"]), (rows[::2], ["und"])):
+        model = langid.learn(docs(*training))
+        assert model.languages == languages
+        assert sorted(r["doc_id"] for r in langid.drop_undetermined(table, model).collect()) == [1, 2]
