@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bustrace.llm import exact, langid, minhash, mixing, packing, sharding, tokens, toolcalls, topk, toxicity
+from bustrace.llm import bpe, exact, langid, minhash, mixing, packing, sharding, tokens, toolcalls, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,3 +135,15 @@ def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 @query
 def op2_tool_call_linking(spark, sf_dir):
     return toolcalls.link_tool_calls(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
+
+
+@query
+def op11_bpe_round_trip(spark, sf_dir):
+    there = bpe.encode(table(spark, sf_dir, "documents"))
+    back = bpe.decode(there)
+    return back.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
