@@ -145,3 +145,47 @@ select conv_id, call_id, (row_number() over (partition by conv_id order by statu
     coalesce(turn, result_turn), call_id) - 1)::bigint as position, layer, turn, result_turn, status, copies, n_missing, valid, errors, json
 from j
 """
+
+
+def _rounds_sql(n: int) -> str:
+    """CTEs a1, c1, a2, … of ``n`` rounds: assignments and the entries after them."""
+    steps = []
+    for i in range(n + 1):
+        steps.append(f"""
+a{i} as materialized (
+  select vec_id, row, label, part, x, arg_min(entry, (apart, entry)) as entry, min(apart) as apart
+  from (
+    select p.*, c.entry, list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as apart
+    from p join c{i} c on c.part = p.part)
+  group by all)""")
+        if i < n:
+            steps.append(f"""
+s{i} as (
+  select part, entry, pos, sum(x[pos])::bigint as s, count(*) as n
+  from a{i}, (select unnest(range(1, (select max(len(x)) from p) + 1)) as pos) group by all),
+c{i + 1} as materialized (
+  select c.part, c.entry, coalesce(m.x, c.x) as x
+  from c{i} c left join (
+    select part, entry, list((s - ((s % n) + n) % n) // n order by pos) as x from s{i} group by all) m
+  on m.part = c.part and m.entry = c.entry)""")
+    return ",".join(steps)
+
+
+_SQL["op13_vector_codes"] = f"""
+with v as (
+  select vec_id, label, row_number() over () as row, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (
+  select vec_id, row, label, part::int as part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] as x from v, range(8) r(part)),
+c0 as materialized (
+  select part, entry, x
+  from (select part, x, row_number() over (partition by part order by vec_id) - 1 as entry from p) where entry < 16),
+{_rounds_sql(6).strip()},
+book as (select sha256(string_agg(y::varchar, ',' order by part, entry, pos)) as codebooks_sha256
+  from (select part, entry, unnest(x) as y, unnest(range(len(x))) as pos from c6)),
+found as (
+  select vec_id, row, any_value(label) as label, string_agg(printf('%02x', entry), '' order by part) as code, sum(apart)::bigint as error
+  from a6 group by vec_id, row)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from found, book
+"""

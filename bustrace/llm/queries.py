@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bustrace.llm import bpe, exact, langid, minhash, mixing, packing, sharding, tokens, toolcalls, topk, toxicity
+from bustrace.llm import bpe, codes, exact, langid, minhash, mixing, packing, sharding, tokens, toolcalls, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,3 +147,13 @@ def op11_bpe_round_trip(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    coded, codebooks = codes.compress(table(spark, sf_dir, "embeddings"), keep=["label"])
+    rows = codes.with_label_error(coded, "label")
+    digest = F.lit(None if codebooks is None else codes.codebooks_sha256(codebooks)).cast("string")
+    return rows.select(
+        "vec_id", codes.hex_code(F.col("codes")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256")
+    )

@@ -1,0 +1,131 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bustrace.llm import codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, error string, id string"
+
+
+def brute(rows, parts, entries, rounds):
+    """(code, error) by row, label errors, codebooks; plain loops over every row and entry."""
+    whole = [(i, [math.floor(4096 * x) for x in v], label) for i, v, label in rows if v and all(x is not None and math.isfinite(x) for x in v)]
+    whole.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    whole = [r for r in whole if len(r[1]) == len(whole[0][1])]
+    if not whole:
+        return [], []
+    w = len(whole[0][1]) // parts
+    cut = [[v[p * w : (p + 1) * w] for p in range(parts)] for _, v, _ in whole]
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+
+    def nearest(book, x):
+        return min((sum((a - b) ** 2 for a, b in zip(e, x, strict=True)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            groups = {}
+            for c in cut:
+                groups.setdefault(nearest(book, c[p])[1], []).append(c[p])
+            for k, xs in groups.items():
+                book[k] = [sum(col) // len(xs) for col in zip(*xs, strict=True)]
+    out = []
+    for (i, _, label), c in zip(whole, cut, strict=True):
+        best = [nearest(books[p], c[p]) for p in range(parts)]
+        out.append((i, label, [k for _, k in best], sum(d for d, _ in best)))
+    return out, books
+
+
+@pytest.fixture
+def run(spark):
+    def compress(rows, parts=2, entries=5, rounds=3):
+        table = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(3)
+        found, books = codes.compress(table, keep=["label"], parts=parts, entries=entries, rounds=rounds)
+        return found, books
+
+    return compress
+
+
+def check(run, rows, **options):
+    found, books = run(rows, **options)
+    settings = {"parts": 2, "entries": 5, "rounds": 3} | options
+    wanted, wanted_books = brute(rows, **settings)
+    assert sorted((repr(tuple(r)) for r in found.select("vec_id", "label", "codes", "error").collect())) == sorted(map(repr, wanted))
+    assert (books.tolist() if books is not None else []) == wanted_books
+    return found, books
+
+
+def vectors(n, dim, seed=1, centres=0):
+    rng = random.Random(seed)
+    at = [[rng.uniform(-1, 1) for _ in range(dim)] for _ in range(centres)]
+    return [(i, [(rng.choice(at)[d] if at else 0) + rng.gauss(0, 0.02 if at else 1) for d in range(dim)], i % 3 or None) for i in range(n)]
+
+
+def test_against_brute_force(run):
+    check(run, vectors(500, 8))
+    check(run, vectors(700, 16, seed=2, centres=9), parts=8, entries=16, rounds=6)
+
+
+def test_small_blocks(run, monkeypatch):
+    monkeypatch.setattr(codes, "ROWS_PER_BLOCK", 37)
+    monkeypatch.setattr(codes, "LEAF", 2)
+    check(run, vectors(400, 4, centres=4), entries=7)
+
+
+def test_ties_and_repeated_rows(run):
+    rng = random.Random(5)
+    rows = [(i // 2, [rng.randint(-2, 2) / 4 for _ in range(4)], 1) for i in range(300)]
+    check(run, rows + rows[:50])
+    check(run, [(i, [0.25, 0.5], 1) for i in range(200)], parts=1)
+
+
+def test_odd_rows(run):
+    rows = [(1, [1.0, 0.5, -0.3, 0.0], 1), (2, None, 1), (3, [1.0, None, 0.0, 0.0], 1), (4, [float("nan"), 1.0, 0.0, 0.0], 2)]
+    rows += [(5, [float("inf"), 0.0, 0.0, 0.0], 2), (None, [0.5, 0.5, 0.5, 0.5], None), (6, [], 1), (7, [0.1, 0.2], 2), (0, [-1.0] * 4, None)]
+    check(run, rows)
+    check(run, [])
+    check(run, rows[1:2])
+
+
+def test_refused(run):
+    with pytest.raises(ValueError, match="equal parts"):
+        run([(1, [1.0, 2.0, 3.0], 1)])
+    with pytest.raises(Exception, match="too large"):
+        run([(1, [1.0, 1e30], 1)])[0].collect()
+
+
+def test_trees_prune_and_assign_whole_nodes():
+    rng = np.random.default_rng(1)
+    centres = rng.integers(-4000, 4000, (16, 4))
+    rows = np.repeat(centres, 200, axis=0) + rng.integers(-20, 20, (3200, 4))
+    tree = codes.Tree(rows.astype(np.int64), 16)
+    found, sums, counts = codes.assign(tree, centres.astype(np.int64))
+    apart = ((tree.points[:, None, :] - centres[None]) ** 2).sum(axis=2)
+    assert (found == apart.argmin(axis=1)).all()
+    assert (counts == np.bincount(found, minlength=16)).all() and (sums.sum(axis=0) == rows.sum(axis=0)).all()
+    again = codes.Tree.read({"n": 3200} | codes.Tree.write([tree, tree]), 2)[1]
+    assert (again.points == tree.points).all() and all((a == b).all() for a, b in zip(again.sums, tree.sums, strict=True))
+    # Rows of nodes that were assigned whole are never read.
+    tree.points = np.full_like(tree.points, 10**6)
+    assert (codes.assign(tree, centres.astype(np.int64))[0] == found).mean() > 0.9
+
+
+def test_codes_stand_for_vectors(run):
+    found, books = run(vectors(50, 8))
+    row = found.select("codes", codes.restored(F.col("codes"), books).alias("r"), codes.hex_code(F.col("codes")).alias("h")).first()
+    assert row["r"] == [x / 4096 for p, k in enumerate(row["codes"]) for x in books[p][k].tolist()]
+    assert row["h"] == "".join(f"{k:02x}" for k in row["codes"])
+    text = ",".join(str(x) for book in books.tolist() for e in book for x in e)
+    assert codes.codebooks_sha256(books) == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_label_errors(run):
+    found, _ = run(vectors(60, 4))
+    rows = codes.with_label_error(found, "label").collect()
+    sums = {}
+    for r in rows:
+        sums[r["label"]] = sums.get(r["label"], 0) + r["error"]
+    assert len(rows) == 60 and all(r["label_error"] == sums[r["label"]] for r in rows)
