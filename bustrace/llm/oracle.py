@@ -189,3 +189,34 @@ found as (
   from a6 group by vec_id, row)
 select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from found, book
 """
+
+
+_SQL["op12_phrase_mining"] = r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+sizes as (select lang, sum(len(w))::bigint as n from w group by lang),
+grams as (
+  select lang, words, unnest(list_transform(range(1, len(w) - words + 2), lambda i: array_to_string(w[i:i + words - 1], ' '))) as phrase
+  from w, (select unnest([1, 2, 3]) as words) k),
+f as materialized (select lang, words, phrase, count(*) as a from grams group by all having count(*) >= 10),
+c as (select *, string_split(phrase, ' ') as w from f where words > 1),
+cuts as (
+  select c.lang, c.phrase, c.a, k, l.a as l, r.a as r, (1000000::hugeint * c.a * c.a // (l.a::hugeint * r.a))::bigint as score
+  from (select *, unnest(range(1, words)) as k from c) c
+  join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:k], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1:], ' ')),
+worst as (select *, row_number() over (partition by lang, phrase order by score, k) as nth from cuts),
+longer as (
+  select lang, phrase, max(a) as a from (
+    select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase from c where words = 3)
+  group by all),
+ranked as (
+  select w.*, row_number() over (partition by w.lang order by w.score desc, w.a desc, w.phrase) as rank
+  from worst w left join longer g on g.lang = w.lang and g.phrase = w.phrase
+  where w.nth = 1 and (g.a is null or 100 * g.a < 50 * w.a))
+select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang) where rank <= 2000
+"""

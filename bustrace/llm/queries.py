@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bustrace.llm import bpe, codes, exact, langid, minhash, mixing, packing, sharding, tokens, toolcalls, topk, toxicity
+from bustrace.llm import bpe, codes, exact, langid, minhash, mixing, packing, phrases, sharding, tokens, toolcalls, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,3 +157,8 @@ def op13_vector_codes(spark, sf_dir):
     return rows.select(
         "vec_id", codes.hex_code(F.col("codes")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256")
     )
+
+
+@query
+def op12_phrase_mining(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
