@@ -210,9 +210,14 @@ def predict(
 
 
 def drop_undetermined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language, with their columns; all rows where no language was learned."""
+    """The rows of ``docs`` whose language can be told, with their columns; all rows where no language was learned.
+
+    Texts without letters go, and those that the decoder flags: their two nearest codewords are less than ``AMBIGUOUS``
+    apart in mean loss.
+    """
     if not model.languages:
         return docs
     names = ("__lang", "__score", "__ambiguous")
     # Only a text without letters has score 0; the label alone may be a learned one.
-    return predict(docs, model, text_col, names).filter(F.col("__score") > 0).drop(*names)
+    found = predict(docs, model, text_col, names)
+    return found.filter((F.col("__score") > 0) & ~F.col("__ambiguous")).drop(*names)

@@ -119,15 +119,19 @@ def mix(
 def mixed_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
-    """``docs`` as the mix takes them: a row per whole repetition, and one with the first words for an incomplete one."""
+    """``docs`` as the mix takes them: a row per repetition, and texts as they are.
+
+    An incomplete repetition is taken whole or not at all, whichever is nearer to its words. So a source misses its
+    target by half of one document's words at most (of one group's, where rows are repeated).
+    """
     plan = mix(docs, id_col, text_col, source_col, **options).dropDuplicates([id_col, "source", "size"])
     plan = plan.select(id_col, "source", "size", "whole", "part").filter("whole > 0 or part > 0")
     plan = plan.toDF("__id", "__source", "__n", "__whole", "__part")
     rows = docs.withColumn("__size", words(text_col))
     same = rows[id_col].eqNullSafe(F.col("__id")) & rows[source_col].eqNullSafe(F.col("__source"))
     rows = rows.join(plan, same & (F.col("__size") == F.col("__n")))
-    first = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), 1, F.col("__part").cast("int")), " ")
-    copies = F.array_repeat(F.col(text_col), F.col("__whole").cast("int"))
-    taken = F.when(F.col("__part") > 0, F.concat(copies, F.array(first))).otherwise(copies)
-    rows = rows.select("*", F.explode(taken).alias("__taken"))
-    return rows.select(*[F.col("__taken").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    times = F.col("__whole") + F.when(F.col("__part") * 2 >= F.col("__n"), F.sign("__part").cast("long")).otherwise(F.lit(0))
+    rows = rows.withColumn("__times", times.cast("int")).filter("__times > 0")
+    # A number per repetition: the text is copied behind it, not into an array.
+    rows = rows.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return rows.select(*docs.columns)

@@ -7,7 +7,8 @@ piece then takes a planned slot by joining on its rank within its length. Ranks
 length that most pieces have is no single group. Full pieces are sequences by themselves and take no part in this.
 
 Ids follow the byte-level vocabulary's ranks file, which gives the ids of its ``tokenizers`` file (tested) in a fifth of
-the time; an end-of-text string inside a text becomes its special id, as that library does by default.
+the time; an end-of-text string inside a text becomes its special id, as that library does by default. That encoder gives
+up on runs of about a million blanks; such a text is encoded by ``bpe``, which gives the same ids for any text.
 
 Defined results: a null text is empty, that is one piece with the end mark only; null ids and repeated rows are packed
 like other rows; an empty table gives an empty result.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bustrace.llm import bpe
 from bustrace.llm.batches import bounded_batches
 from bustrace.llm.vocabulary import END_OF_TEXT, ranks_encoder
 from bustrace.session import broadcast_if_small, store
@@ -76,6 +78,18 @@ def plan(counts: dict[int, int], limit: int) -> list[tuple[int, int, int, int, i
     return rows
 
 
+def guarded(encode, same: str):
+    """``encode``, with the backtracking encoder for texts on which it gives up."""
+
+    def ids(text: str) -> np.ndarray:
+        try:
+            return encode(text)
+        except ValueError:
+            return np.frombuffer(bpe.Vocabulary(same).encode(text), "<u4")
+
+    return ids
+
+
 def token_pieces(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -86,18 +100,23 @@ def token_pieces(
     path: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
     specials=SPECIALS,
+    same: str | None = None,
     with_ids: bool = False,
 ) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32 and, on request, ids. The first piece is the short one."""
+    """One row per piece: id, piece, start, length, ids_crc32 and, on request, ids. The first piece is the short one.
+
+    ``path`` is a file of ranks, ``same`` the vocabulary's ``tokenizers`` file.
+    """
     bounded_batches(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
+    same = same or public_tokenizers.path(bpe.VOCABULARY)
     schema = T.StructType([docs.schema[id_col], T.StructField("piece", T.IntegerType())])
     schema = schema.add("start", "long").add("length", "long").add("ids_crc32", "long")
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ranks_encoder(path, pattern, specials)
+        encode = guarded(ranks_encoder(path, pattern, specials), same)
         for batch in batches:
             row, piece, start, length, crc, values = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):

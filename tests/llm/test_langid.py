@@ -70,3 +70,12 @@ def test_nothing_learned_and_a_learned_und_drop_no_clean_rows(docs):
         model = langid.learn(docs(*training))
         assert model.languages == languages
         assert sorted(r["doc_id"] for r in langid.drop_undetermined(table, model).collect()) == [1, 2]
+
+
+def test_ambiguous_texts_are_dropped(docs):
+    training = docs(*[(i, "xa xa xa" if i % 2 else "xb xb xb", "a" if i % 2 else "b") for i in range(200)])
+    model = langid.learn(training)
+    table = docs((1, "xa xa"), (2, "xb"), (3, "q q"), (4, "12"), (5, None), clash=True)
+    kept = langid.drop_undetermined(table, model)
+    assert kept.columns == table.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]

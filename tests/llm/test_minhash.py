@@ -6,13 +6,13 @@ from bustrace.llm import components, minhash
 from llm.conftest import ODD, lowered, rows_of, words_of
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = words_of(lowered(text))
-    return {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute(rows):
-    sets = [shingles(r[1]) for r in rows]
+def brute(rows, size=4):
+    sets = [shingles(r[1], size) for r in rows]
     parent = list(range(len(rows)))
 
     def root(i):

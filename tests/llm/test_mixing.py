@@ -54,15 +54,31 @@ def test_documents_are_repeated_as_planned(docs):
     mixed = mixing.mixed_documents(table)
     assert mixed.columns == table.columns
     for i, text, *_ in rows:
-        got = sorted((r["text"] for r in mixed.filter(f"doc_id = {i}").collect()), key=len, reverse=True)
+        got = [r["text"] for r in mixed.filter(f"doc_id = {i}").collect()]
         part = plan[i]["part"]
-        assert got == [text] * plan[i]["whole"] + ([" ".join(text.split()[:part])] if part else [])
+        assert got == [text] * (plan[i]["whole"] + (part > 0 and 2 * part >= plan[i]["size"]))
+
+
+def test_texts_are_never_cut(docs):
+    rows = [(i, f"one  two\n{'x ' * (i % 9 + 1)}", "en", f"s{i % 2}") for i in range(50)] + [(99, "word " * 3000, "en", "s2")]
+    mixed = mixing.mixed_documents(docs(*rows)).collect()
+    assert {r["text"] for r in mixed} <= {r[1] for r in rows}
+    target = {r["source"]: r["target"] for r in mixing.mix(docs(*rows)).collect()}
+    for source, words in target.items():
+        taken = sum(len(words_of(r["text"])) for r in mixed if r["source"] == source)
+        assert abs(taken - words) <= max(len(words_of(r[1])) for r in rows if r[3] == source) / 2 + 1
 
 
 def test_repeated_and_null_ids_are_mixed(odd):
-    plan = mixing.mix(odd)
-    mixed = mixing.mixed_documents(odd)
-    assert sum(len(words_of(r["text"])) for r in mixed.collect()) == sum(r["taken"] for r in plan.collect())
+    times = {}
+    for r in mixing.mix(odd).collect():
+        n = r["whole"] + (r["part"] > 0 and 2 * r["part"] >= r["size"])
+        times[r["doc_id"], r["source"], r["size"]] = times.get((r["doc_id"], r["source"], r["size"]), 0) + n
+    mixed = {}
+    for r in mixing.mixed_documents(odd).collect():
+        key = r["doc_id"], r["source"], len(words_of(r["text"]))
+        mixed[key] = mixed.get(key, 0) + 1
+    assert mixed == {k: n for k, n in times.items() if n}
 
 
 def test_nothing_to_mix(docs):

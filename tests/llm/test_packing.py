@@ -108,3 +108,14 @@ def test_ids_on_request_and_empty_table(docs, tokenizer):
     (row,) = packing.pack(docs((1, "a b c")), with_ids=True).collect()
     assert row["ids"] == [*tokenizer.encode("a b c", add_special_tokens=False).ids, 2]
     assert packing.pack(docs()).collect() == []
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\u00a0", "\u3000"])
+def test_long_blank_runs(docs, tokenizer, blank):
+    texts = ["a" + blank * 100_000 + "b", blank * 999_999 + "b", "a" + blank * 1_000_000, "a" + blank * 2_000_000 + "b"]
+    found = defaultdict(list)
+    for r in packing.pack(docs(*enumerate(texts)), with_ids=True).collect():
+        found[r["doc_id"]].append((r["piece"], r["ids"]))
+    for i, text in enumerate(texts):
+        ids = [x for _, part in sorted(found[i]) for x in part]
+        assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from bustrace.llm import phrases
-from tests.llm.conftest import ODD, lowered
+from llm.conftest import ODD, lowered
 
 
 def brute(rows, least=10, most=3, top=2000):
