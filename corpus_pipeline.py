@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bustrace.llm import exact, langid, minhash, mixing, packing
 from bustrace.llm.queries import remainder
@@ -15,7 +14,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letters at all) go. Learned from the rows that are not held out."""
+    """Documents go whose language can't be told: no letters, or ambiguous. Learned from the rows that are not held out."""
     model = langid.learn(docs.filter(remainder("doc_id", 3) != 1))
     return langid.drop_undetermined(docs, model)
 
@@ -26,14 +25,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return minhash.drop_near_copies(docs)
+    """One document of each group of near copies stays: 0.8 of their five-word shingles are the same."""
+    return minhash.drop_near_copies(docs, shingle_words=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target of their source takes them."""
-    mixed = mixing.mixed_documents(docs)
-    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return mixing.mixed_documents(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
