@@ -6,10 +6,11 @@ leaves equal partitions whose sizes are the phrases' counts. This is done twice:
 phrases into one row with a count, and after the rows were routed by their leading word, where the partitions of a task
 are whole, and one that is too infrequent is abandoned before its next word is looked at.
 
-Two bitmaps of fixed size over hashes of words, made from exact word counts, tell words that may be frequent (a phrase
-ends in front of any other) and words that may be heavy. Phrases that start with a heavy word are routed by all their
-words; their shorter prefixes are summed over tasks afterwards. A false positive costs time and changes no result.
-Between the two sorts a task sends packed rows: the words it uses, and numbers.
+Three tables of bounded size, made from exact word counts, go to all tasks. A bitmap over hashes tells words that may be
+frequent; a phrase ends in front of any other. Levels, over hashes too, tell words that may be heavy: phrases behind a
+heavy word are routed by two words, and those behind two heavy words are dealt out further by the words that follow, and
+their prefixes are summed over tasks afterwards. A false positive costs time and changes no result. The commonest words
+have numbers, so that the packed rows that go from the first sort to the second only spell the rarer ones.
 
 Counts, candidates, scores and ranks are exact for any number of words up to 10^16 of a language: products are decimals.
 
@@ -43,6 +44,8 @@ TEXT_PART = 1 << 22  # bytes split into words at once
 SMALL = 1 << 16  # partitions of so many pointers are sorted in one go
 ROWS_PER_TASK = 1 << 21
 HEAVY = 1 << 18
+HEAVY_BITS = 20
+NUMBERED = 1 << 17
 MOST_BITS = 27
 
 #: Ends a piece; no word holds one.
@@ -50,7 +53,7 @@ SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 STOP = b"."
 _TABLE = bytes(STOP[0] if b in SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_PACKED = "lang string, task int, heavy boolean, words binary, keys binary, n binary"
+_PACKED = "lang string, task int, dealt boolean, words binary, keys binary, n binary"
 
 
 def words_of(text: bytes) -> Iterator[list[bytes]]:
@@ -110,6 +113,25 @@ def word_bitmap(words: DataFrame, bits: int) -> np.ndarray:
     return out[: 1 << bits]
 
 
+def word_levels(words: DataFrame, heavy: int) -> np.ndarray:
+    """By hash of (lang, word), how often the count of a heavy word can be halved before it is light; 0 for light words."""
+    at = F.crc32(F.concat(F.col("lang"), F.lit("\n"), F.col("word"))).bitwiseAND((1 << HEAVY_BITS) - 1)
+    level = (F.floor(F.log2(F.col("n") / heavy)) + 1).cast("int")
+    out = np.zeros(1 << HEAVY_BITS, np.uint8)
+    for row in words.filter(F.col("n") >= heavy).groupBy(at.alias("at")).agg(F.max(level).alias("level")).collect():
+        out[row["at"]] = row["level"]
+    return out
+
+
+def word_numbers(words: DataFrame) -> tuple[dict[str, dict[bytes, int]], dict[int, bytes]]:
+    """Numbers from 1 for the ``NUMBERED`` commonest words, by language and back."""
+    first = words.orderBy(F.desc("n"), "lang", "word").limit(NUMBERED).select("lang", "word").collect()
+    numbers: dict[str, dict[bytes, int]] = {}
+    for i, row in enumerate(first, 1):
+        numbers.setdefault(row["lang"], {})[row["word"].encode()] = i
+    return numbers, {i: row["word"].encode() for i, row in enumerate(first, 1)}
+
+
 def equal_parts(keys: np.ndarray, weights: np.ndarray, least: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Multikey three-way quicksort of the rows of ``keys``: for each depth, (a pointer, weight) of its equal partitions.
 
@@ -156,15 +178,26 @@ class _Numbers(dict):
         return number
 
 
-def _block(lang: str, numbers: np.ndarray, words: list[bytes], frequent, heavy, tasks: int, depths: int) -> Iterator[dict]:
+def _planes(numbers: np.ndarray) -> bytes:
+    """Rows of numbers column by column and byte by byte, so that equal bytes lie together."""
+    return np.ascontiguousarray(numbers.T, "<u4").reshape(-1, 1).view(np.uint8).reshape(-1, numbers.shape[0], 4).transpose(0, 2, 1).tobytes()
+
+
+def _unplaned(data: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(columns, 4, -1)
+    return np.ascontiguousarray(planes.transpose(2, 0, 1)).view("<u4")[:, :, 0].astype(np.int32)
+
+
+def _block(lang: str, numbers: np.ndarray, words: list[bytes], tables, common_words: int, tasks: int, depths: int) -> Iterator[dict]:
     """Packed rows of the suffixes of one block and language, by the task they go to."""
+    frequent, levels, numbered = tables
     used = np.unique(numbers)
     start, crc = _hash(lang), np.zeros(len(words), np.uint64)
     for i in used[used > 0].tolist():
         crc[i] = zlib.crc32(words[i], start)
-    bit = (crc & np.uint64(len(frequent) - 1)).astype(np.int64)
-    may, hot = frequent[bit], heavy[bit]
-    may[0] = False
+    may = frequent[(crc & np.uint64(len(frequent) - 1)).astype(np.int64)]
+    level = levels[(crc & np.uint64(len(levels) - 1)).astype(np.int64)]
+    may[0], level[0] = False, 0
     ahead = np.append(np.where(may[numbers], numbers, 0), np.zeros(depths, numbers.dtype))
     keys = np.empty((len(numbers), depths), np.int32)
     for d in range(depths):
@@ -174,29 +207,42 @@ def _block(lang: str, numbers: np.ndarray, words: list[bytes], frequent, heavy,
     keys = keys[keys[:, 1] > 0]
     at, n = equal_parts(keys, np.ones(len(keys), np.int64), (1,) * depths)[-1]
     keys = keys[at]
-    target = crc[keys[:, 0]]
-    of_heavy = hot[keys[:, 0]]
-    for d in range(1, depths):
-        target = np.where(of_heavy, target * np.uint64(0x9E3779B97F4A7C15) + crc[keys[:, d]], target)
-    # The upper half depends on all bits that went in.
-    target = ((target ^ (target >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)) % np.uint64(tasks)
-    group = target.astype(np.int64) * 2 + of_heavy
+    factor = np.uint64(0x9E3779B97F4A7C15)
+
+    def mixed(h: np.ndarray) -> np.ndarray:
+        """The lower bits depend on all bits that went in."""
+        return ((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)
+
+    target, later = crc[keys[:, 0]], np.zeros(len(keys), np.uint64)
+    target = np.where(level[keys[:, 0]] > 0, target * factor + crc[keys[:, 1]], target)
+    for d in range(2, depths):
+        later = later * factor + crc[keys[:, d]] + np.uint64(1)
+    both = np.minimum(level[keys[:, 0]], level[keys[:, 1]]).astype(np.uint64)
+    target = target * factor + (mixed(later) & ((np.uint64(1) << both) - np.uint64(1)))
+    group = (mixed(target) % np.uint64(tasks)).astype(np.int64) * 2 + (both > 0)
     order = np.argsort(group, kind="stable")
     cuts = np.append(np.flatnonzero(np.diff(group[order], prepend=-1)), len(order))
+    known = numbered.get(lang, {})
+    common = np.zeros(len(words), np.int64)
+    for i in used.tolist():
+        common[i] = known.get(words[i], 0) if i else 0
     for a, z in zip(cuts[:-1], cuts[1:], strict=True):
         part = order[a:z]
-        mine, local = np.unique(np.append(0, keys[part]), return_inverse=True)
+        mine = np.unique(keys[part])
+        rare = mine[(common[mine] == 0) & (mine > 0)]
+        named = common.copy()
+        named[rare] = common_words + 1 + np.arange(len(rare))
         yield {
             "lang": lang,
             "task": int(group[part[0]] // 2),
-            "heavy": bool(group[part[0]] % 2),
-            "words": b"\n".join(words[i] for i in mine[1:].tolist()),
-            "keys": local[1:].astype(np.int32).tobytes(),
-            "n": n[part].astype(np.int64).tobytes(),
+            "dealt": bool(group[part[0]] % 2),
+            "words": b"\n".join(words[i] for i in rare.tolist()),
+            "keys": _planes(named[keys[part]]),
+            "n": _planes(n[part, None]),
         }
 
 
-def _suffixes(frequent, heavy, tasks: int, depths: int):
+def _suffixes(tables, tasks: int, depths: int):
     """Rows (lang, text as bytes) to packed rows of sorted and counted suffixes."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,13 +251,13 @@ def _suffixes(frequent, heavy, tasks: int, depths: int):
         def flush() -> Iterator[pa.RecordBatch]:
             words = list(numbers)
             for lang, parts in held.items():
-                for row in _block(lang, np.concatenate(parts), words, frequent.value, heavy.value, tasks, depths):
+                for row in _block(lang, np.concatenate(parts), words, tables.value, NUMBERED, tasks, depths):
                     yield pa.RecordBatch.from_pylist([row], schema=schema)
             held.clear()
             numbers.clear()
             numbers[STOP] = 0
 
-        schema = pa.schema([("lang", pa.string()), ("task", pa.int32()), ("heavy", pa.bool_()), ("words", pa.binary()), ("keys", pa.binary()), ("n", pa.binary())])
+        schema = pa.schema([("lang", pa.string()), ("task", pa.int32()), ("dealt", pa.bool_()), ("words", pa.binary()), ("keys", pa.binary()), ("n", pa.binary())])
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 parts = held.setdefault(lang, [])
@@ -227,20 +273,26 @@ def _suffixes(frequent, heavy, tasks: int, depths: int):
     return sort
 
 
-def _grams(least: int, depths: int):
-    """Packed rows of a task to phrases of two words and more, with their counts; those of heavy words may be in parts."""
+def _grams(common, least: int, depths: int):
+    """Packed rows of a task to phrases of two words and more, with their counts; those that were dealt may be in parts."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, bool], tuple[_Numbers, list, list]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                numbers, keys, n = held.setdefault((row["lang"], row["heavy"]), (_Numbers({STOP: 0}), [], []))
-                local = np.array([0, *map(numbers.__getitem__, row["words"].split(b"\n"))], np.int32)
-                keys.append(local[np.frombuffer(row["keys"], np.int32)].reshape(-1, depths))
-                n.append(np.frombuffer(row["n"], np.int64))
-        for (lang, heavy), (numbers, keys, n) in held.items():
-            words, all_keys = list(numbers), np.concatenate(keys)
-            bounds = (1,) * (depths - 1) + (least,) if heavy else (least,) * depths
+                rare, keys, n = held.setdefault((row["lang"], row["dealt"]), (_Numbers({STOP: 0}), [], []))
+                spelt = row["words"].split(b"\n") if row["words"] else []
+                local = np.array([0, *map(rare.__getitem__, spelt)], np.int32)
+                named = _unplaned(row["keys"], depths)
+                spelled = named > NUMBERED
+                named[spelled] = NUMBERED + local[named[spelled] - NUMBERED]
+                keys.append(named)
+                n.append(_unplaned(row["n"], 1)[:, 0].astype(np.int64))
+        for (lang, dealt), (rare, keys, n) in held.items():
+            words = {**common.value, **{NUMBERED + i: w for i, w in enumerate(rare) if i}}
+            all_keys = np.concatenate(keys)
+            # A heavy word's partition is in several tasks.
+            bounds = (1,) * (depths - 1) + (least,) if dealt else (1,) + (least,) * (depths - 1)
             for depth, (at, total) in enumerate(equal_parts(all_keys, np.concatenate(n), bounds)):
                 whole = all_keys[at, depth] > 0
                 at, total = at[whole], total[whole]
@@ -266,10 +318,13 @@ def phrase_counts(
     kinds, rows = frequent.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits = min(MOST_BITS, max(10, (16 * kinds).bit_length()))
     tasks = max(1, -(-rows // ROWS_PER_TASK))
-    bitmaps = [spark.sparkContext.broadcast(word_bitmap(w, bits)) for w in (frequent, words.filter(F.col("n") >= HEAVY))]
-    packed = texts.mapInArrow(_suffixes(*bitmaps, tasks, most_words), _PACKED)
-    grams = packed.repartitionById(tasks, F.col("task")).mapInArrow(_grams(least, most_words), "lang string, phrase string, words int, n long")
-    # Only the prefixes of heavy words come in parts; the sum of a single row is that row.
+    numbers, common = word_numbers(frequent)
+    share = spark.sparkContext.broadcast
+    tables, common = share((word_bitmap(frequent, bits), word_levels(words, HEAVY), numbers)), share(common)
+    packed = texts.mapInArrow(_suffixes(tables, tasks, most_words), _PACKED)
+    packed = packed.repartitionById(tasks, F.col("task"))
+    grams = packed.mapInArrow(_grams(common, least, most_words), "lang string, phrase string, words int, n long")
+    # Only prefixes of phrases that were dealt out come in parts; the sum of a single row is that row.
     grams = grams.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "n")
     return store(single.unionByName(grams), "phrase-counts"), sizes

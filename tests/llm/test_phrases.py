@@ -63,7 +63,7 @@ def test_longer_phrases(docs):
 
 
 def test_many_blocks_tasks_and_heavy_words(docs, monkeypatch):
-    for name, value in {"WORDS_PER_BLOCK": 300, "TEXT_PART": 64, "HELD_WORDS": 5, "SMALL": 8, "ROWS_PER_TASK": 500, "HEAVY": 300}.items():
+    for name, value in {"WORDS_PER_BLOCK": 300, "TEXT_PART": 64, "HELD_WORDS": 5, "SMALL": 8, "ROWS_PER_TASK": 500, "HEAVY": 150, "NUMBERED": 4}.items():
         monkeypatch.setattr(phrases, name, value)
     rows = texts(120, seed=3)
     assert found(phrases.collocations(docs(*rows))) == brute(rows)
