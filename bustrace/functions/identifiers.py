@@ -115,6 +115,17 @@ def references(
 
     One pass over the messages; a field that is both an identifier and a source counts as the former.
     """
+    rows = reference_entries(messages, carry, bidirectional, id_fields, source_fields)
+    # A null key refers to nothing. Saying that the rest is not null spares a test on the join key, as there.
+    return rows.filter("_text is not null").select(
+        *COORDS, *carry, "kind_rank", "field_rank", "field", F.expr("coalesce(_text, '')").alias("ref_id")
+    )
+
+
+def reference_entries(
+    messages: DataFrame, carry: list[str], bidirectional: bool, id_fields: list[str], source_fields: list[str]
+) -> DataFrame:
+    """The rows of ``references`` with ``_text`` for ``ref_id``. Each message has one for its key, even if that is null."""
     n = len(id_fields)
     wanted = dict.fromkeys([*id_fields, *(source_fields if bidirectional else [])])
 
@@ -145,8 +156,4 @@ def references(
     rows = rows.select(*COORDS, *carry, F.expr(f"explode_outer({entries})").alias("_e"))
     leaf = leaf_sql("_e.leaf")
     text = F.expr(f"if(_e.leaf is null, _e.text, {leaf})")
-    rows = rows.select(*COORDS, *carry, "_e.kind_rank", "_e.field_rank", "_e.field", text.alias("_text"))
-    # A null key refers to nothing. Saying that the rest is not null spares a test on the join key, as above.
-    return rows.filter("_text is not null").select(
-        *COORDS, *carry, "kind_rank", "field_rank", "field", F.expr("coalesce(_text, '')").alias("ref_id")
-    )
+    return rows.select(*COORDS, *carry, "_e.kind_rank", "_e.field_rank", "_e.field", text.alias("_text"))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when its measured size stays below this.
@@ -90,6 +90,14 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["size"] or 0
 
 
+def store_measured(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """``store``, with the rows and their bytes as JSON text, observed while they are written."""
+    seen = Observation()
+    size = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    stored = store(df.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")), name)
+    return stored, seen.get["n"], seen.get["size"]
+
+
 def broadcast_if_small(df: DataFrame, size: int | None = None) -> DataFrame:
     """Hint a broadcast when the measured size allows it; otherwise leave the join to Catalyst and its skew handling."""
     if size is None:
