@@ -219,6 +219,78 @@ def _returns_ids(method: str) -> str:
     return f"select {place}, 'ORD-' || l_orderkey, '{method}', 1 from lineitem where l_returnflag = 'R'"
 
 
+def _traced_row(chain: str, level: int, direction: str, field: str, method: str, at: str) -> str:
+    def text(x: str) -> str:
+        return f"'{x}'" if x else "null::varchar"
+
+    return (
+        f"{chain} as chain, {level} as correlation_level, {text(direction)} as direction, {text(field)} as field,"
+        f" {text(method)} as method, epoch_us({at}) as ts_us"
+    )
+
+
+def _linked_sql() -> dict[str, str]:
+    """Correlations as plain joins of the base tables."""
+    order, event = _place("orders", "o_orderkey"), _place("activity", "event_id")
+    shipment, back = _place("shipments", "l_orderkey", _LINE_OFFSET), _place("returns", "l_orderkey", _LINE_OFFSET)
+    seeds = f"select {order}, {_traced_row(chr(39) * 2, 0, '', '', '', 'o_orderdate')} from orders"
+    customer = "user_id * 10 + event_id % 10"
+    by_order = "'ORD-' || l_orderkey"
+    forward = ("forward", "value:orderId", "standard", "l_shipdate")
+    backward = ("backward", "value:source_id", "backward_reference", "l_shipdate")
+    did = ("forward", "value:customerId", "standard", "ts")
+    shipped = f"select {shipment}, {_traced_row(by_order, 1, *forward)} from lineitem join orders on o_orderkey = l_orderkey where l_returnflag <> 'R'"
+    returned = f"select {back}, {_traced_row(by_order, 1, *backward)} from lineitem join orders on o_orderkey = l_orderkey where l_returnflag = 'R'"
+    by_customer = f"'CUST-' || ({customer})"
+    activity = f"select {event}, {_traced_row(by_customer, 1, *did)} from events where {customer} in (select o_custkey from orders)"
+    of_7 = f"select {event}, {_traced_row(by_customer, 1, *did)} from events where {customer} = (select o_custkey from orders where o_orderkey = 7)"
+    return {
+        "indexed_shipments": f"{seeds} union all {shipped}",
+        "indexed_returns": f"{seeds} union all {returned}",
+        "indexed_customers": f"{seeds} union all {activity}",
+        "indexed_products": f"""
+{seeds} union all {shipped}
+union all select {_place('catalog', 'p_partkey')},
+  {_traced_row("least_order || '->PROD-' || p_partkey", 2, "forward", "key", "standard", "timestamp '2024-02-01'")}
+from part join (
+  select l_partkey, min('ORD-' || l_orderkey) as least_order from lineitem join orders on o_orderkey = l_orderkey
+  where l_returnflag <> 'R' group by l_partkey) on l_partkey = p_partkey""",
+        "indexed_limit": f"""
+{seeds} where o_orderkey = 7
+union all (
+  select * from ({of_7} union all {shipped} and l_orderkey = 7) order by chain, "partition", "offset" limit 19)""",
+        "indexed_breadth": f"""
+with i as (
+  select 'CUST-' || o_custkey as id from orders union select 'ORD-' || o_orderkey from orders
+  union select 'TR-' || o_orderkey from orders),
+kept as (select id from i order by id limit 100)
+select {order}, '' as chain, 0 as correlation_level, (select count(*) from i) - (select count(*) from kept) as ids_left_out from orders
+union all select {event}, id, 1, 0 from events join kept on id = 'CUST-' || ({customer})""",
+        "indexed_sources": f"""
+select {back}, {_traced_row("''", 0, '', '', '', 'l_shipdate')} from lineitem where l_returnflag = 'R'
+union all select {order}, {_traced_row("'ORD-' || o_orderkey", 1, 'forward', 'key', 'jsonpath:$.source_id', 'o_orderdate')}
+from orders where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')""",
+        "indexed_investigation": f"""
+{seeds} where o_orderkey = 7 union all {of_7}
+union all {shipped} and l_orderkey = 7 union all {returned} and l_orderkey = 7""",
+        "indexed_details": f"""
+select {order}, '[]' as chain, '[]' as details from orders
+union all select {shipment}, '["ORD-' || l_orderkey || '"]', '[{{"id":"ORD-' || l_orderkey || '","direction":"forward",'
+  || '"field":"value:orderId","extraction_method":"standard","timestamp":"' || {_iso('epoch_us(l_shipdate)')} || '"}}]'
+from lineitem join orders on o_orderkey = l_orderkey where l_returnflag <> 'R'""",
+        "indexed_exclude_seen": f"""
+{seeds} where o_orderstatus = 'O'
+union all select {order}, {_traced_row("'CUST-' || o_custkey", 1, 'forward', 'value:customer_id', 'standard', 'o_orderdate')}
+from orders where o_orderstatus <> 'O' and o_custkey in (select o_custkey from orders where o_orderstatus = 'O')""",
+        "indexed_summary": """
+select 'ORD-' || l_orderkey as id, count(*) as messages,
+  case when max(l_returnflag = 'R') and not min(l_returnflag = 'R') then 'returns,shipments'
+    when max(l_returnflag = 'R') then 'returns' else 'shipments' end as topics,
+  min(epoch_us(l_shipdate)) as first_us, max(epoch_us(l_shipdate)) as last_us
+from lineitem join orders on o_orderkey = l_orderkey group by l_orderkey""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     line_place = _place("shipments", "l_orderkey", _LINE_OFFSET)
     return_place = _place("returns", "l_orderkey", _LINE_OFFSET)
@@ -381,6 +453,8 @@ union all select {line_place}, 'SUP-' || l_suppkey, 'jsonpath:$[''shipment''].*'
 union all select {line_place}, 'SUP-' || l_suppkey, 'jsonpath:$..supplier' {shipped}
 union all select {line_place}, 'TR-' || l_orderkey, 'jsonpath:$.headers[''trace-id'']' {shipped}""",
         "reference_rows": _with(f"select {_COORDS}, kind_rank, field_rank, field, ref_id from refs", _REFERENCES),
+        "indexed_references": _with(f"select {_COORDS}, kind_rank, field_rank, field, ref_id from refs", _REFERENCES),
+        **_linked_sql(),
         "correlate_forward": _correlate(_ORDERS, _FOLLOW),
         "correlate_backward": _correlate(_ORDERS, _FOLLOW, backward=True),
         "correlate_breadth": _correlate(_ORDERS, _FOLLOW, breadth=100),

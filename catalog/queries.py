@@ -525,6 +525,121 @@ def correlate_summary(spark, sf_dir):
     )
 
 
+# --- Correlation over the inverted reference table: it is written once, and every query here reads it -------------------
+
+
+@cache
+def _index_path(application: str, sf_dir: str) -> str:
+    spark = SparkSession.active()
+    path = scratch_path(spark, "index")
+    b.write_index(_linked(spark, sf_dir), path)
+    return path
+
+
+def _linked(spark, sf_dir):
+    """The archive and the topic of products, whose keys are ids that shipments give away."""
+    return _archive(spark, sf_dir).unionByName(raw_messages(spark, sf_dir, ["catalog"]))
+
+
+def _indexed(spark, sf_dir):
+    return _linked(spark, sf_dir), b.read_index(spark, _index_path(spark.sparkContext.applicationId, sf_dir))
+
+
+def _correlate_orders(spark, sf_dir, follow, **options):
+    raw, index = _indexed(spark, sf_dir)
+    seeds = b.enrich(raw.filter("topic = 'orders'"))
+    return b.correlate(raw, seeds, follow, index=index, **options)
+
+
+@query
+def indexed_references(spark, sf_dir):
+    """Two partitions first, then everything offered: each message is taken in once."""
+    raw, path = _plain(spark, sf_dir), scratch_path(spark, "appended")
+    b.write_index(raw.filter("partition < 2"), path)
+    b.append_index(raw, path)
+    return b.read_index(spark, path).references.select(*COORDS, "kind_rank", "field_rank", "field", "ref_id")
+
+
+@query
+def indexed_shipments(spark, sf_dir):
+    """One hop: the shipments of all orders."""
+    return traced(_correlate_orders(spark, sf_dir, ["shipments"]))
+
+
+@query
+def indexed_returns(spark, sf_dir):
+    """One hop backwards: messages that name an order as their source."""
+    return traced(_correlate_orders(spark, sf_dir, ["returns"], bidirectional=True))
+
+
+@query
+def indexed_customers(spark, sf_dir):
+    """What the customers of all orders did."""
+    return traced(_correlate_orders(spark, sf_dir, ["activity"]))
+
+
+@query
+def indexed_products(spark, sf_dir):
+    """Two hops: orders to shipments, and to the products in them."""
+    return traced(_correlate_orders(spark, sf_dir, ["shipments", "catalog"], max_depth=2))
+
+
+@query
+def indexed_limit(spark, sf_dir):
+    """The first 20 messages around one order, in the order in which they are found."""
+    raw, index = _indexed(spark, sf_dir)
+    seeds = b.search_messages(raw, "ORD-7", topics=["orders"])
+    return traced(b.correlate(raw, seeds, ["activity", "shipments"], limit=20, index=index))
+
+
+@query
+def indexed_breadth(spark, sf_dir):
+    """A hop along 100 ids, with the number of ids that were not followed."""
+    found = _correlate_orders(spark, sf_dir, ["activity"], max_breadth=100)
+    return found.select(*COORDS, F.array_join("correlation_chain", "->").alias("chain"), "correlation_level", "ids_left_out")
+
+
+@query
+def indexed_sources(spark, sf_dir):
+    """Ids by a JSON path: from returns to the orders they name."""
+    raw, index = _indexed(spark, sf_dir)
+    seeds = b.enrich(raw.filter("topic = 'returns'"))
+    return traced(b.correlate(raw, seeds, ["orders"], jsonpath_expressions=["$.source_id"], index=index))
+
+
+@query
+def indexed_investigation(spark, sf_dir):
+    raw, index = _indexed(spark, sf_dir)
+    return traced(b.investigate(raw, "ORD-7", FOLLOW, initial_topics=["orders"], bidirectional=True, index=index))
+
+
+@query
+def indexed_details(spark, sf_dir):
+    """Chain and details as text."""
+    found = _correlate_orders(spark, sf_dir, ["shipments"])
+    return found.select(*COORDS, F.to_json("correlation_chain").alias("chain"), F.to_json("correlation_details").alias("details"))
+
+
+@query
+def indexed_exclude_seen(spark, sf_dir):
+    """From open orders to the other orders of their customers: seeds are not found again."""
+    raw, index = _indexed(spark, sf_dir)
+    seeds = b.search_messages(raw, "O", key_field="value:status", topics=["orders"])
+    return traced(b.correlate(raw, seeds, ["orders"], index=index))
+
+
+@query
+def indexed_summary(spark, sf_dir):
+    found = _correlate_orders(spark, sf_dir, ["shipments", "returns"], bidirectional=True)
+    return b.correlation_summary(found).select(
+        "id",
+        "messages",
+        F.array_join("topics", ",").alias("topics"),
+        F.unix_micros("first_seen").alias("first_us"),
+        F.unix_micros("last_seen").alias("last_us"),
+    )
+
+
 @query
 def investigate(spark, sf_dir):
     raw = _plain(spark, sf_dir)
