@@ -19,6 +19,7 @@ from bustrace.plans.correlate import correlate, correlation_summary
 from bustrace.plans.investigate import investigate
 from bustrace.session import configure
 from bustrace.sources.archive import read_archive, write_archive
+from bustrace.sources.blocks import read_blocks
 from bustrace.sources.export import export_json, import_json, read_json, write_json
 from bustrace.sources.kafka import kafka_options, read_kafka
 from bustrace.sources.references import ReferenceIndex, append_index, build_index, read_index, write_index
@@ -28,6 +29,6 @@ __all__ = [
     "TopicNotFound", "append_index", "build_index", "configure", "consumer_group_lag", "correlate", "correlation_summary", "decode", "describe_topic",
     "describe_topics", "enrich", "export_json", "get_message", "get_messages", "import_json", "investigate",
     "kafka_options", "lag_summary", "list_topics", "match_messages", "normalize", "offsets_for_times",
-    "partition_ids", "read_archive", "read_index", "read_json", "read_kafka", "scan_partition", "search_many", "search_messages",
+    "partition_ids", "read_archive", "read_blocks", "read_index", "read_json", "read_kafka", "scan_partition", "search_many", "search_messages",
     "watermarks", "write_archive", "write_index", "write_json",
 ]

@@ -10,14 +10,16 @@ from bustrace import session
 from bustrace.operators import lag, lookup, offsets, search
 from bustrace.plans.correlate import correlate
 from bustrace.plans.investigate import investigate
+from bustrace.sources.references import ReferenceIndex
 
 
 @dataclass
 class Bus:
     """A message table in the raw layout with its optional companions.
 
-    ``schemas``: registry snapshot; ``committed``: committed offsets; ``partition_meta``: broker metadata;
-    ``decoding``: further arguments of ``decode``.
+    ``schemas``: registry snapshot; ``committed``: committed offsets; ``partition_meta``: broker metadata; ``blocks`` and
+    ``index``: the block index and the inverted reference table of the archive that ``raw`` is; ``decoding``: further
+    arguments of ``decode``.
     """
 
     raw: DataFrame
@@ -25,6 +27,8 @@ class Bus:
     committed: DataFrame | None = None
     partition_meta: DataFrame | None = None
     decoding: dict = field(default_factory=dict)
+    blocks: DataFrame | None = None
+    index: ReferenceIndex | None = None
 
     def __post_init__(self):
         session.configure(self.raw.sparkSession)
@@ -45,7 +49,7 @@ class Bus:
     def search_messages(self, key: str, *, topics: list[str] | None = None, **options) -> DataFrame:
         """Raises TopicNotFound for a listed topic that does not exist."""
         offsets.require_topics(self.raw, topics or [], self.partition_meta)
-        return search.search_messages(self.raw, key, topics=topics, **options, **self._decoding)
+        return search.search_messages(self.raw, key, topics=topics, blocks=self.blocks, **options, **self._decoding)
 
     def search_many(self, keys: DataFrame, **options) -> DataFrame:
         return search.search_many(self.raw, keys, **options, **self._decoding)
@@ -53,11 +57,14 @@ class Bus:
     def consumer_group_lag(self, group: str | None = None, topics: list[str] | None = None) -> DataFrame:
         if self.committed is None:
             raise ValueError("no committed offsets given")
-        marks = offsets.watermarks(self.raw, self.partition_meta)
+        marks = offsets.watermarks(self.raw, self.partition_meta, self.blocks)
         return lag.consumer_group_lag(self.committed, marks, group, topics)
 
     def correlate_messages(self, initial_results: DataFrame, follow_topics: list[str], **options) -> DataFrame:
-        return correlate(self.raw, initial_results, follow_topics, **options, **self._decoding)
+        return correlate(self.raw, initial_results, follow_topics, **self._indexed(options), **self._decoding)
 
     def investigate(self, key: str, follow_topics: list[str], **options) -> DataFrame:
-        return investigate(self.raw, key, follow_topics, **options, decoding=self._decoding)
+        return investigate(self.raw, key, follow_topics, **self._indexed(options), decoding=self._decoding)
+
+    def _indexed(self, options: dict) -> dict:
+        return options if self.index is None else {"index": self.index, **options}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -161,3 +162,14 @@ def payload_may_hold(payload: str, *keys: str) -> Column:
         return F.lit(True)
     text = f"cast({payload} as string)"
     return F.expr(" or ".join(f"contains({text}, {quote(n)})" for n in [*sum(needles, []), "\\"]))
+
+
+def payload_may_name(payload: str, path: str) -> Column:
+    """Cheap necessary test on the raw bytes for a JSON object with the members of a dotted path.
+
+    As for values: without a backslash, a member's name stands in the payload as it is, in quotes.
+    """
+    text = f"cast({payload} as string)"
+    named = " and ".join(f"contains({text}, {quote(json.dumps(n, ensure_ascii=False))})" for n in dict.fromkeys(path.split(".")))
+    escaped = f"contains({text}, {quote(chr(92))})"
+    return F.expr(f"coalesce({named} or {escaped}, false)")

@@ -57,6 +57,21 @@ def in_topic_ranges(bounds: DataFrame) -> Column:
     return reduce(Column.__or__, inside, nothing())
 
 
+def in_partition_ranges(bounds: DataFrame) -> Column:
+    """As ``in_topic_ranges``, by partition; ``bounds`` has a row per topic and partition."""
+    rows = bounds.select("topic", "partition", "start", "stop").limit(FILTERED_TOPICS + 1).collect()
+    if len(rows) > FILTERED_TOPICS:
+        return in_topic_ranges(bounds)
+    inside = [
+        (F.col("topic") == r["topic"])
+        & (F.col("partition") == r["partition"])
+        & (F.col("offset") >= r["start"])
+        & (F.col("offset") < r["stop"])
+        for r in rows
+    ]
+    return reduce(Column.__or__, inside, nothing())
+
+
 def key_equals(key: str) -> Column:
     """Message key equals the text; a null key never does.
 

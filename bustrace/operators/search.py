@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bustrace.functions.evidence import with_evidence
 from bustrace.functions.framing import framed_sql
-from bustrace.functions.text import child_sql, leaf_text, path_equals, payload_may_hold, utf8_text
+from bustrace.functions.text import child_sql, leaf_text, path_equals, payload_may_hold, payload_may_name, utf8_text
 from bustrace.operators.decode import decode
 from bustrace.operators.normalize import normalize, opened, with_texts
 from bustrace.operators.offsets import seek_bounds, within_bounds
@@ -108,6 +108,7 @@ def search_messages(
     stop_offset: int | None = None,
     limit: int | None = None,
     mode: str = "strict",
+    blocks: DataFrame | None = None,
     **decoding,
 ) -> DataFrame:
     """Messages that carry ``key`` in the window.
@@ -116,7 +117,8 @@ def search_messages(
     All matches are returned as an unordered table, unless ``limit`` is given: it counts matches in scan order (topic,
     partition, offset), and the result is sorted by time. ``mode="seek"`` starts each partition at the first offset stamped at or
     after ``time_from`` instead of testing every row. ``start_offset`` (inclusive) and ``stop_offset`` (exclusive) bound
-    the offsets of every partition and reach the scan.
+    the offsets of every partition and reach the scan. With ``blocks``, the index of the archive that ``raw`` is, a seek
+    reads one block of a partition to find its start.
     """
     if mode not in ("strict", "seek"):
         raise ValueError(f"mode must be strict or seek, not {mode!r}")
@@ -125,7 +127,9 @@ def search_messages(
     scope = raw.filter(in_topics(topics) & in_offsets(start_offset, stop_offset))
     seek = time_from if mode == "seek" else None
     if seek is not None:
-        scope = within_bounds(scope, seek_bounds(scope, seek))
+        whole = start_offset is None and stop_offset is None
+        known = blocks.filter(in_topics(topics)) if blocks is not None and whole else None
+        scope = within_bounds(scope, seek_bounds(scope, seek, known))
     if time_to is None:
         scope = scope.filter(not_after(datetime.now(timezone.utc)))
     order = [topic_position(topics), F.col("partition"), F.col("offset")]
@@ -155,6 +159,8 @@ def _with_key_text(rows: DataFrame, key_field: str | None, decoding: dict) -> tu
     if kind == "header" and ":" in key_field:
         return rows.withColumn("search_key", header_value(name)), False
     if kind == "value" and ":" in key_field:
+        framed = F.expr(framed_sql("value")) if decoding.get("schemas") is not None else F.lit(False)
+        rows = rows.filter(payload_may_name("value", name) | framed)
         # The generator keeps the null test of the join from repeating the leaf expression below.
         found = F.expr(f"explode(array({child_sql('value', name.split('.'))}))")
         leaf = decode(opened(rows), **decoding).select("*", found.alias("_leaf"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bustrace.model import RAW_SCHEMA
+from bustrace.sources.blocks import write_blocks
 
 
 def as_raw(df: DataFrame) -> DataFrame:
@@ -20,7 +21,15 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def write_archive(raw: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Partitioned by topic, so that a topic list prunes directories; rows of a partition lie together by offset.
 
-    The range partitioning is by offset too: a hot topic or partition is spread over many files.
+    The range partitioning is by offset too: a hot topic or partition is spread over many files. Row groups have a Bloom
+    filter on the key, by which a key search skips those without it, and the archive has an index of its blocks.
     """
     spread = raw.repartitionByRange("topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
-    spread.write.mode(mode).partitionBy("topic").parquet(path)
+    writer = spread.write.mode(mode).partitionBy("topic").options(**bloom_filter("key"))
+    writer.parquet(path)
+    write_blocks(raw.sparkSession, path)
+
+
+def bloom_filter(column: str) -> dict[str, str]:
+    """Options of a Parquet writer: a Bloom filter on this column, as large as its distinct values need."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}

@@ -24,6 +24,7 @@ from bustrace.operators.decode import decode
 from bustrace.operators.normalize import normalize
 from bustrace.operators.predicates import in_topics
 from bustrace.session import store
+from bustrace.sources.archive import bloom_filter
 
 BUCKETS = 64
 PARTITION = ["topic", "partition"]
@@ -107,8 +108,7 @@ def _write(raw: DataFrame, path: str, buckets: int, id_fields: list[str], source
     # Hashed by id and place: a bucket with a hot id is spread over many tasks, and no task writes many buckets.
     bucketed = references.withColumn("bucket", bucket_of("ref_id", buckets))
     spread = bucketed.repartitionByRange("bucket", "ref_id", *COORDS).sortWithinPartitions("bucket", "ref_id", *COORDS)
-    writer = spread.write.mode("append").partitionBy("bucket")
-    writer.option("parquet.bloom.filter.enabled#ref_id", "true").parquet(f"{path}/references")
+    spread.write.mode("append").partitionBy("bucket").options(**bloom_filter("ref_id")).parquet(f"{path}/references")
     placed = identifiers.repartitionByRange(*COORDS).sortWithinPartitions(*COORDS)
     placed.write.mode("append").partitionBy("topic").parquet(f"{path}/identifiers")
     twice = raw.groupBy(*COORDS).count().filter("count > 1").limit(1).count()

@@ -378,6 +378,21 @@ def oracle_sql() -> dict[str, str]:
         "search_unknown_field": _flat("plain", "false"),
         "archive_search_key": _flat("plain", "\"key\" = 'USR-7'"),
         "archive_search_offsets": _flat("plain", "topic = 'orders' and \"offset\" >= 100 and \"offset\" < 200 and headers_json like '%\"web\"%'"),
+        "archive_watermarks": _with('select topic, "partition", 0 as leader, earliest, latest from marks'),
+        "archive_describe_topics": _with(
+            "select topic as name, count(*)::int as partition_count,"
+            """ string_agg("partition" || ':' || earliest || ':' || latest, ',' order by "partition") as partitions"""
+            " from marks group by topic"
+        ),
+        "archive_offsets_for_times": _with(
+            'select topic, "partition", min("offset") filter (ts_us >= epoch_us(timestamp \'1997-01-01\')) as found,'
+            ' coalesce(found, min("offset")) as start_offset from plain group by topic, "partition"'
+        ),
+        "archive_search_seek": _with(
+            f"select {_FLAT} from m_orders join (select \"partition\", coalesce(min(\"offset\") filter"
+            " (ts_us >= epoch_us(timestamp '2001-06-01')), min(\"offset\")) as start from m_orders group by all)"
+            ' using ("partition") where "offset" >= start and headers_json like \'%"web"%\''
+        ),
         "archive_get_messages": _with(
             f"""select o.topic, o."partition", o."offset", "key", customer_id, 'found' as lookup_status
 from plain o where topic = 'orders' and "offset" % 10 = 0"""

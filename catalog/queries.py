@@ -344,6 +344,11 @@ def _archive(spark, sf_dir):
     return b.read_archive(spark, _archive_path(spark.sparkContext.applicationId, sf_dir))
 
 
+def _blocks(spark, sf_dir):
+    _archive(spark, sf_dir)
+    return b.read_blocks(spark, _archive_path(spark.sparkContext.applicationId, sf_dir))
+
+
 @query
 def archive_search_key(spark, sf_dir):
     return flat(b.search_messages(_archive(spark, sf_dir), "USR-7"))
@@ -355,6 +360,31 @@ def archive_search_offsets(spark, sf_dir):
     return flat(b.search_messages(_archive(spark, sf_dir), "web", key_field="header:source", **bounds))
 
 
+@query
+def archive_watermarks(spark, sf_dir):
+    """From the archive's block index; no message is read."""
+    return b.watermarks(_archive(spark, sf_dir), blocks=_blocks(spark, sf_dir))
+
+
+@query
+def archive_describe_topics(spark, sf_dir):
+    ends = F.array_join(F.transform("partitions", lambda p: F.concat_ws(":", p["id"], p["earliest"], p["latest"])), ",")
+    found = b.describe_topics(_archive(spark, sf_dir), blocks=_blocks(spark, sf_dir))
+    return found.select("name", "partition_count", ends.alias("partitions"))
+
+
+@query
+def archive_offsets_for_times(spark, sf_dir):
+    """A seek by the block index: one block of each partition is read."""
+    return b.offsets_for_times(_archive(spark, sf_dir), datetime(1997, 1, 1), blocks=_blocks(spark, sf_dir))
+
+
+@query
+def archive_search_seek(spark, sf_dir):
+    raw, window = _archive(spark, sf_dir), {"time_from": datetime(2001, 6, 1), "mode": "seek"}
+    return flat(b.search_messages(raw, "web", key_field="header:source", blocks=_blocks(spark, sf_dir), **window))
+
+
 @query
 def archive_get_messages(spark, sf_dir):
     raw = _archive(spark, sf_dir)
