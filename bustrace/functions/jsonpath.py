@@ -1,23 +1,17 @@
 """JSONPath over VARIANT columns: child, quoted child, index, ``[*]``, ``.*`` and ``..``.
 
-A path becomes a column expression that gives all matches as an array. Only a path with ``..`` runs in Python.
+A path becomes a column expression that gives all matches as an array; ``..`` folds over the levels of the document.
 """
 
 from __future__ import annotations
 
-import json
 import re
-import sys
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bustrace.functions.text import child_sql, leaf_sql
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 _STEP = re.compile(
     r"""(?P<deep>\.\.)?(?:
         \.?(?P<name>[A-Za-z_@][\w@-]*)
@@ -76,50 +70,32 @@ def _element(value: str, index: int) -> str:
     return f"try_element_at(try_variant_get({value}, '$', 'array<variant>'), {index})"
 
 
+def _with_descendants(nodes: str) -> str:
+    """The nodes and everything below them, of any depth.
+
+    A fold that goes one level down at each step. A document has at most as many levels as opening brackets; steps behind
+    the last level leave the result as it is.
+    """
+    children = f"""coalesce(try_variant_get(n, '$', 'array<variant>'), {_members('n')}, cast(array() as array<variant>))"""
+    below = f"flatten(transform(acc.level, n -> {children}))"
+    brackets = "length(to_json(n)) - length(translate(to_json(n), '{[', ''))"
+    levels = f"coalesce(array_max(transform(_found, n -> {brackets})), 0)"
+    fold = f"""aggregate(array_repeat(0, {levels}), named_struct('level', _found, 'every', _found), (acc, i) ->
+      if(size(acc.level) = 0, acc, named_struct('level', {below}, 'every', concat(acc.every, {below}))), acc -> acc.every)"""
+    # The nodes are named once, in a lambda, since the fold reads them several times.
+    return f"transform(array({nodes}), _found -> if(_found is null, null, {fold}))[0]"
+
+
 def matches(value: str, steps: list[Step]) -> Column:
     """All matches in a VARIANT column as text, ``array<string>``; an empty array when there are none."""
-    if any(kind == "deep" for kind, _ in steps):
-        return _deep_udf(steps)(F.expr(f"to_json({value})"))
     found = f"if({value} is null, null, array({value}))"
     for kind, arg in steps:
-        if kind in ("items", "members"):
+        if kind == "deep":
+            found = _with_descendants(found)
+        elif kind in ("items", "members"):
             inner = _items("v") if kind == "items" else _members("v")
             found = f"flatten(filter(transform({found}, v -> {inner}), a -> a is not null))"
         else:
             inner = child_sql("v", [arg]) if kind == "child" else _element("v", arg)
             found = f"filter(transform({found}, v -> {inner}), w -> w is not null)"
     return F.expr(f"coalesce(transform({found}, v -> {leaf_sql('v')}), cast(array() as array<string>))")
-
-
-def _walk(nodes: list, steps: list[Step]) -> list:
-    """Matches of the steps in parsed JSON; the small helper behind ``..``."""
-    for at, (kind, arg) in enumerate(steps):
-        if kind == "deep":
-            found = []
-            todo = list(nodes)
-            while todo:
-                node = todo.pop()
-                found += _walk([node], steps[at + 1 : at + 2])
-                todo += node.values() if isinstance(node, dict) else node if isinstance(node, list) else []
-            return _walk(found, steps[at + 2 :])
-        if kind == "child":
-            nodes = [n[arg] for n in nodes if isinstance(n, dict) and arg in n]
-        elif kind == "index":
-            nodes = [n[arg] for n in nodes if isinstance(n, list) and -len(n) <= arg < len(n)]
-        elif kind == "members":
-            nodes = [v for n in nodes if isinstance(n, dict) for v in n.values()]
-        else:
-            nodes = [v for n in nodes for v in (n if isinstance(n, list) else [] if isinstance(n, float | None) else [n])]
-    return nodes
-
-
-def _deep_udf(steps: list[Step]):
-    @F.pandas_udf("array<string>")
-    def deep(documents: pd.Series) -> pd.Series:
-        def text(leaf):
-            nested = isinstance(leaf, dict | list)
-            return json.dumps(leaf, ensure_ascii=False, separators=(",", ":")) if nested else str(leaf)
-
-        return pd.Series([[text(m) for m in _walk([json.loads(d)], steps)] if d else [] for d in documents], dtype=object)
-
-    return deep

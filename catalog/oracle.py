@@ -448,6 +448,12 @@ left join plain m using ({_COORDS}) left join marks k on k.topic = c.topic and k
   || '","msisdn":null,"customer_id":"' || customer_id
   || '","product_id":null}},"correlation_chain":[],"correlation_details":[]}}' as json
 from m_orders join orders on "key" = 'ORD-' || o_orderkey"""
+        ),
+        "export_json_all": _with(f"select {_FLAT_NO_KEY.replace(' ts_us,', '')} from bus"),
+        "export_lag_all": _with(
+            """select '{"group":"' || "group" || '","topic":"' || topic || '","partition":' || "partition" || ',"current_offset":'
+  || current_offset || ',"end_offset":' || end_offset || ',"lag":' || lag
+  || ',"timestamp_utc":"","source":"kafka","event_type":"consumer_lag"}' as line from lag"""
         ),
         "import_json": _flat("plain", columns=_FLAT + ", raw_bytes::int as raw_bytes"),
         "ids_standard": _with(
@@ -459,6 +465,23 @@ union all select {line_place}, '"PROD-' || l_partkey || '"', 'regex:"PROD-[0-9]+
 union all select {return_place}, '"PROD-' || l_partkey || '"', 'regex:"PROD-[0-9]+"' {returned}
 union all select {event_place}, 'CUST', 'regex:(CUST)-(\\d+)' from events
 union all select {event_place}, (user_id * 10 + event_id % 10)::varchar, 'regex:(CUST)-(\\d+)' from events""",
+        "ids_regex_all": f"""
+select {line_place}, l_suppkey::varchar as id, 'regex:SUP-(\\d+)' as method {shipped}
+union all select {line_place}, '"PROD-' || l_partkey || '"', 'regex:"PROD-[0-9]+"' {shipped}
+union all select {return_place}, '"PROD-' || l_partkey || '"', 'regex:"PROD-[0-9]+"' {returned}
+union all select {_place('catalog', 'p_partkey')}, '"PROD-' || p_partkey || '"', 'regex:"PROD-[0-9]+"' from part
+union all select topic, "partition", "offset", unnest(['CUST', n::varchar]), 'regex:(CUST)-(\\d+)' from (
+  select {event_place}, user_id * 10 + event_id % 10 as n from events
+  union all select {_place('orders', 'o_orderkey')}, o_custkey from orders
+  union all select {_place('accounts', 'c_custkey')}, c_custkey from customer)""",
+        "ids_jsonpath_all": f"""
+select {return_place}, 'PROD-' || l_partkey as id, unnest(['jsonpath:$.items[*].id', 'jsonpath:$..id', 'jsonpath:$..items..id']) as method
+{returned}
+union all select {line_place}, l_linenumber::varchar, 'jsonpath:$[''shipment''].*' {shipped}
+union all select {line_place}, 'SUP-' || l_suppkey, unnest(['jsonpath:$[''shipment''].*', 'jsonpath:$..supplier']) {shipped}
+union all select {event_place}, regexp_extract(props, '[0-9]+'), 'jsonpath:$.props..k' from events
+union all select {_place('orders', 'o_orderkey')}, 'CUST-' || o_custkey, 'jsonpath:$..customer_id' from orders
+union all select {_place('accounts', 'c_custkey')}, 'CUST-' || c_custkey, 'jsonpath:$..customer_id' from customer""",
         "ids_jsonpath": f"""
 select {return_place}, 'PROD-' || l_partkey as id, 'jsonpath:$.items[*].id' as method {returned}
 union all select {return_place}, 'PROD-' || l_partkey, 'jsonpath:items[0].id' {returned}

@@ -442,6 +442,33 @@ def export_lag(spark, sf_dir):
     return lines.select(F.regexp_extract("value", r'^(.*"partition":\d+)', 1).alias("head"))
 
 
+@query
+def export_json_all(spark, sf_dir):
+    """Every message of all eight topics as a JSON line, with the payload's own text, read back field by field."""
+    lines = b.export_json(b.enrich(raw_messages(spark, sf_dir), schemas=schemas(spark)), payload_text=True)
+    line = F.col("value")
+
+    def at(path: str) -> F.Column:
+        return F.get_json_object(line, f"$.{path}")
+
+    # Members are in the payload's order; a VARIANT has them in the order of their names.
+    value = F.to_json(F.try_parse_json(at("value")))
+    return lines.select(
+        at("topic").alias("topic"),
+        at("partition").cast("int").alias("partition"),
+        at("offset").cast("bigint").alias("offset"),
+        value.alias("value_json"),
+        *(at(f"keys.{k}").alias(k) for k in ("order_id", "msisdn", "customer_id", "product_id")),
+    )
+
+
+@query
+def export_lag_all(spark, sf_dir):
+    """Whole lines of the lag export, but for the time of the call."""
+    lines = b.export_json(_lag(spark, sf_dir))
+    return lines.select(F.regexp_replace("value", r'"timestamp_utc":"[^"]*"', '"timestamp_utc":""').alias("line"))
+
+
 @query
 def import_json(spark, sf_dir):
     return flat(b.import_json(b.export_json(b.enrich(_plain(spark, sf_dir)))), F.octet_length("raw").alias("raw_bytes"))
@@ -469,6 +496,24 @@ def ids_jsonpath(spark, sf_dir):
     return correlation_ids(messages, jsonpath_expressions=paths).filter("method <> 'standard'")
 
 
+def _all_topics(spark, sf_dir):
+    return b.enrich(raw_messages(spark, sf_dir), schemas=schemas(spark))
+
+
+@query
+def ids_regex_all(spark, sf_dir):
+    """``ids_regex`` over all eight topics."""
+    patterns = [r"SUP-(\d+)", r"(CUST)-(\d+)", "(broken", '"PROD-[0-9]+"']
+    return correlation_ids(_all_topics(spark, sf_dir), regex_patterns=patterns).filter("method <> 'standard'")
+
+
+@query
+def ids_jsonpath_all(spark, sf_dir):
+    """``ids_jsonpath`` over all eight topics, with more paths that go down to any depth."""
+    paths = ["$.items[*].id", "$['shipment'].*", "$..supplier", "$..id", "$..customer_id", "$.props..k", "$..items..id"]
+    return correlation_ids(_all_topics(spark, sf_dir), jsonpath_expressions=paths).filter("method <> 'standard'")
+
+
 @query
 def reference_rows(spark, sf_dir):
     decoded = b.decode(b.normalize(_plain(spark, sf_dir)))
