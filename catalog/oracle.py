@@ -363,6 +363,7 @@ def oracle_sql() -> dict[str, str]:
             " (ts_us >= epoch_us(timestamp '2001-06-01')), min(\"offset\")) as start from m_orders group by all)"
             ' using ("partition") where "offset" >= start and headers_json like \'%"web"%\''
         ),
+        "stream_search": _flat("plain", "headers_json like '%\"source\":\"web\"%'"),
         "search_headers_and": _flat(
             "plain", "topic = 'orders' and value_json like '%\"status\":\"O\"%' and headers_json like '%\"web\"%'"
         ),

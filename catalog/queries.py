@@ -15,6 +15,7 @@ from bustrace.model import COORDS
 from bustrace.operators import report
 from bustrace.operators.offsets import watermarks
 from bustrace.session import scratch_path
+from bustrace.streaming.matches import follow, followed, stream_archive, stream_matches
 from catalog.bus import PLAIN, committed_offsets, raw_messages, schemas, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,6 +411,23 @@ def coordinates_held_twice(spark, sf_dir):
     return held.groupBy("topic").agg(F.count(F.lit(1)).alias("twice"))
 
 
+# --- Streams ------------------------------------------------------------------------------------------------------------
+
+
+@query
+def stream_search(spark, sf_dir):
+    """A search that follows a growing archive: stopped after a batch, resumed, resumed again when the archive has grown."""
+    raw = _plain(spark, sf_dir)
+    path, out, state = (scratch_path(spark, f"stream-{name}") for name in ("archive", "found", "state"))
+    b.write_archive(raw.filter("partition < 2"), path)
+    found = flat(stream_matches(stream_archive(spark, path, files_per_batch=4), "web", key_field="header:source"))
+    follow(found, out, state, batches=1)
+    follow(found, out, state)
+    b.write_archive(raw.filter("partition >= 2"), path, mode="append")
+    follow(found, out, state)
+    return followed(spark, out, found)
+
+
 # --- Broker metadata ----------------------------------------------------------------------------------------------------
 
 
