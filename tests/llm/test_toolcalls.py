@@ -100,3 +100,29 @@ def test_no_python_in_the_plan_and_empty_tables(spark):
     assert df.collect() == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_keys_whatever_the_session_says(spark):
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before, rows = spark.conf.get(name, None), []
+    try:
+        for value in ("true", "false"):
+            spark.conf.set(name, value)
+            found = link(spark, [(1, "a", 1, "get", '{"q":"x","q":"y"}', [])], [])
+            rows.append(found.select("valid", "errors", "json").first())
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    assert rows[0] == rows[1] and rows[0]["valid"] and json.loads(rows[0]["json"])["arguments"] == {"q": "y"}
+
+
+def test_whole_floats(spark):
+    (row,) = link(spark, [(1, "a", 1, "get", '{"q":"x","n":1.0}', [])], []).collect()
+    assert row["valid"] and '"n":1,' in row["json"]
+
+
+def test_a_long_chain_has_a_small_plan(spark):
+    calls = [(1, f"c{i:03}", i, "get", '{"q":"x"}', [f"c{i - 1:03}"] if i else []) for i in range(25)]
+    found = link(spark, calls, [])
+    assert [r["layer"] for r in found.orderBy("position").collect()] == list(range(25))
+    layers = toolcalls.topological_layers(spark.createDataFrame([(c[0], c[1], c[5]) for c in calls], "conv_id long, call_id string, needs array<string>"))
+    assert layers._jdf.queryExecution().optimizedPlan().toString().count("parquet") <= 4
