@@ -18,7 +18,7 @@ def check(rows, found, limit):
         assert r["shard_bytes"] <= limit or r["shard_rows"] == 1
         if r["depth"] <= sharding.ID_BITS:
             key = "" if r["doc_id"] is None else str(r["doc_id"])
-            bits = bin(int(hashlib.md5(key.encode()).hexdigest()[:6], 16) + (1 << 24))[3:]
+            bits = bin(int(hashlib.md5(key.encode()).hexdigest()[:15], 16) + (1 << 60))[3:]
             assert r["shard"] == bits[: r["depth"]]
     leaves = sorted({r["shard"].split("-")[0] for r in found})
     assert not any(b.startswith(a) for a, b in zip(leaves, leaves[1:], strict=False))
@@ -47,7 +47,7 @@ def test_one_id_in_very_many_rows(docs):
 
 
 def test_equal_bits_to_the_end(docs, monkeypatch):
-    monkeypatch.setattr(sharding, "BITS", 25)
+    monkeypatch.setattr(sharding, "ROW_BITS", 2)
     rows = [(7, "y" * 40)] * 30
     found = sharding.extendible_shards(docs(*rows), max_bytes=100).collect()
     assert len(found) == 30 and all(r["shard_bytes"] <= 100 for r in found)
@@ -68,3 +68,33 @@ def test_empty_table_and_bad_limit(docs):
     assert sharding.extendible_shards(docs()).collect() == []
     with pytest.raises(ValueError):
         sharding.extendible_shards(docs(), max_bytes=0)
+
+
+def test_distinct_ids_beyond_24_bits(docs):
+    """Two ids that share 24 bits of their hash are split by further bits of it, and alike in every run."""
+    seen = {}
+    for i in range(60_000):
+        front = hashlib.md5(str(i).encode()).hexdigest()[:6]
+        if front in seen:
+            break
+        seen[front] = i
+    pair = (seen[front], i)
+    rows = [(k, "x" * 60) for k in pair] + [(k, "y" * 10) for k in range(70_000, 70_020)]
+    found = sharding.extendible_shards(docs(*rows), max_bytes=100).collect()
+    check(rows, found, 100)
+    assert all(24 < r["depth"] <= sharding.ID_BITS for r in found if r["doc_id"] in pair)
+    again = sharding.extendible_shards(docs(*rows[::-1]).repartition(5), max_bytes=100).collect()
+    assert {r["doc_id"]: r["shard"] for r in again} == {r["doc_id"]: r["shard"] for r in found}
+
+
+def test_directory_of_any_depth(docs):
+    rows = [(7, "y" * 40)] * 20 + [(i, "z" * 30) for i in range(100, 130)]
+    shards = sharding.extendible_shards(docs(*rows), max_bytes=100)
+    with pytest.raises(ValueError, match="directory_ranges"):
+        sharding.directory(shards)
+    ranges = {r["shard"]: r for r in sharding.directory_ranges(shards).collect()}
+    for r in shards.collect():
+        h = int(hashlib.md5(str(r["doc_id"]).encode()).hexdigest()[:15], 16)
+        assert ranges[r["shard"]]["first"] <= h <= ranges[r["shard"]]["last"]
+    own = sorted((r["first"], r["last"]) for r in ranges.values() if r["depth"] <= sharding.ID_BITS)
+    assert all(a[1] < b[0] for a, b in zip(own, own[1:], strict=False))
