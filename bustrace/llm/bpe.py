@@ -39,7 +39,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 from bustrace.llm.batches import bounded_batches
 
 VOCABULARY = "byte_bpe_50k.json"
-HELD_TEXTS = 1 << 21  # texts between blanks whose ids a worker holds; beyond that it starts anew
+HELD_TEXTS = 1 << 20  # texts between blanks whose ids a worker holds; beyond that it starts anew
 HELD_LENGTH = 64  # longer ones are not held
 HELD_PAIRS = 1 << 20
 DECODE_PART = 1 << 16  # ids gathered at once

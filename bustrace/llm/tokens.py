@@ -10,7 +10,9 @@ sum of the segments before it plus a count inside one segment. Both levels are p
   count is one more than that of the prefix without the piece.
 
 ``PrefixCounts`` answers how many tokens any prefix has and which prefix fits a budget without encoding the text again.
-``count_tokens`` uses it for whole columns and also gives the longest prefix within the limit.
+``count_tokens`` uses it for whole columns and also gives the longest prefix within the limit. The running sums are made for
+every text; the table inside a segment only where a question falls into it, which for ``count_tokens`` is the segment in
+which the limit runs out.
 
 Defined results: a null text is empty and has no bytes and no tokens; null ids and repeated rows stay as they are; an
 empty table gives an empty result. The model must treat spaces as described, which is checked when it is loaded.
