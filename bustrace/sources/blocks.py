@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bustrace.functions.params import as_utc
+from bustrace.model import RAW_SCHEMA
 from bustrace.operators.normalize import HAS_EVENT_TIME
 
 FOLDER = "_blocks"
@@ -25,15 +26,14 @@ SCHEMA = """topic string, partition int, file string, block bigint, start bigint
 
 def write_blocks(spark: SparkSession, path: str, rows_per_block: int = ROWS_PER_BLOCK) -> None:
     """Index the archive's files that are not in its index yet; a scan of offsets and times, without their payloads."""
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(RAW_SCHEMA).parquet(path)
     file, number = F.col("_metadata.file_name"), F.col("_metadata.row_index")
     rows = rows.select(
-        F.col("topic").cast("string").alias("topic"),
-        F.col("partition").cast("int").alias("partition"),
+        *PARTITION,
         file.alias("file"),
         (number / rows_per_block).cast("bigint").alias("block"),
-        F.col("offset").cast("bigint").alias("offset"),
-        F.when(F.expr(HAS_EVENT_TIME), F.col("timestamp")).cast("timestamp").alias("_time"),
+        "offset",
+        F.when(F.expr(HAS_EVENT_TIME), F.col("timestamp")).alias("_time"),
     )
     known = read_blocks(spark, path)
     if known is not None:

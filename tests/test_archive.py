@@ -122,3 +122,8 @@ def test_many_keys_are_found_below_any_name(spark, bus, field):
     found = sorted(r["offset"] for r in b.search_many(raw, keys, key_field=field).collect())
     single = [r["offset"] for k in ("1", "2") for r in b.search_messages(raw, k, key_field=field).collect()]
     assert found == sorted(single)
+
+
+def test_an_empty_archive(spark, raw, tmp_path):
+    b.write_archive(raw.limit(0), str(tmp_path / "a"))
+    assert b.watermarks(raw.limit(0), blocks=b.read_blocks(spark, str(tmp_path / "a"))).count() == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_correlate import chains, random_bus
 
 import bustrace as b
+from bustrace import session
 from bustrace.functions.identifiers import correlation_ids, references
 from bustrace.model import COORDS
 from bustrace.plans import correlate as plan
@@ -154,3 +155,14 @@ def test_hot_id_in_an_index(spark, bus, tmp_path):
     assert sum(sizes) == 4000 and sizes[-1] <= 2 * 4000 / 4
     seed = b.enrich(bus(message("s", 0, {"order_id": "hot"})))
     assert b.correlate(bus(*rows), seed, ["a"], index=b.read_index(spark, str(path))).count() == 3601
+
+
+@pytest.mark.parametrize("topics", [["b"], ["nowhere"]])
+def test_nothing_is_found(spark, bus, monkeypatch, topics):
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
+    raw = bus(message("a", 0, {"order_id": "o1"}, key="s"), message("b", 1, {"order_id": "o2"}))
+    seeds = b.enrich(raw.filter("topic = 'a'"))
+    for index in (None, b.build_index(raw)):
+        for depth in (1, 3):
+            assert chains(b.correlate(raw, seeds, topics, max_depth=depth, index=index)) == {("a", 0, 0): []}
+    assert b.correlate(raw, seeds.limit(0), topics, max_depth=2).count() == 0
