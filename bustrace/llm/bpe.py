@@ -73,21 +73,54 @@ class Held(dict):
         return ids
 
 
-@cache
-class Vocabulary:
-    """A byte-level vocabulary with ranked merges. A worker loads each file once."""
+class Tokens:
+    """The bytes of a byte-level vocabulary's tokens, one after the other, and where each begins."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
-        model, byte_of = data["model"], byte_letters()
-        ids = model["vocab"]
+        byte_of = byte_letters()
         special = {t["content"]: t["id"] for t in data["added_tokens"]}
+        bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in data["model"]["vocab"].items()}
+        bytes_of |= {i: t.encode() for t, i in special.items()}
+        at = np.zeros(max(bytes_of) + 2, np.int64)
+        for i, b in bytes_of.items():
+            at[i + 1] = len(b)
+        self.at = at.cumsum()
+        self.buffer = np.frombuffer(b"".join(bytes_of.get(i, b"") for i in range(len(at) - 1)), np.uint8)
+        self._read(data, bytes_of, special)
+
+    def _read(self, data: dict, bytes_of: dict[int, bytes], special: dict[str, int]) -> None:
+        """What an encoder needs besides; nothing here."""
+
+    def decode(self, ids: bytes) -> str:
+        every = np.frombuffer(ids, "<u4")
+        out = []
+        for a in range(0, len(every), DECODE_PART):
+            part = every[a : a + DECODE_PART].astype(np.int64)
+            part = part[part < len(self.at) - 1]
+            start = self.at[part]
+            size = self.at[part + 1] - start
+            skipped = np.repeat(start - (size.cumsum() - size), size)
+            out.append(self.buffer[skipped + np.arange(len(skipped))].tobytes())
+        return b"".join(out).decode("utf-8", "replace")
+
+
+@cache
+def token_table(path: str) -> Tokens:
+    return Tokens(path)
+
+
+@cache
+class Vocabulary(Tokens):
+    """A byte-level vocabulary with ranked merges. A worker loads each file once."""
+
+    def _read(self, data: dict, bytes_of: dict[int, bytes], special: dict[str, int]) -> None:
         if any(t[k] for t in data["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("added tokens with conditions are not supported")
-        self.bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in ids.items()}
-        self.bytes_of |= {i: t.encode() for t, i in special.items()}
-        self.id_of = {self.bytes_of[i]: i for i in ids.values()}
+        model, ids = data["model"], data["model"]["vocab"]
+        self.bytes_of = bytes_of
+        self.id_of = {bytes_of[i]: i for i in ids.values()}
         if any(bytes([b]) not in self.id_of for b in range(256)):
             raise ValueError("every byte must be a token")
         self.order: dict[int, int] = {}  # when a token is made; single bytes are there from the start
@@ -101,11 +134,6 @@ class Vocabulary:
             self.order[made], self.parts[made], self.merge[ids[left], ids[right]] = rank, (ids[left], ids[right]), rank
         self._edges()
         self._tokens()
-        at = np.zeros(max(self.bytes_of) + 2, np.int64)
-        for i, b in self.bytes_of.items():
-            at[i + 1] = len(b)
-        self.at = at.cumsum()
-        self.buffer = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(len(at) - 1)), np.uint8)
         self.words = Held(lambda text: array("I", self._word(text.encode())).tobytes())
         self.chunks = Held(self._chunk)
         self.after_blank = Held(lambda text: self._chunk(" " + text))
@@ -248,18 +276,6 @@ class Vocabulary:
         parts = self.marks.split(text)
         return b"".join(self.special[p] if k % 2 else b"".join(self._plain(p)) for k, p in enumerate(parts))
 
-    def decode(self, ids: bytes) -> str:
-        every = np.frombuffer(ids, "<u4")
-        out = []
-        for a in range(0, len(every), DECODE_PART):
-            part = every[a : a + DECODE_PART].astype(np.int64)
-            part = part[part < len(self.at) - 1]
-            start = self.at[part]
-            size = self.at[part + 1] - start
-            skipped = np.repeat(start - (size.cumsum() - size), size)
-            out.append(self.buffer[skipped + np.arange(len(skipped))].tobytes())
-        return b"".join(out).decode("utf-8", "replace")
-
 
 def encode(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, path: str | None = None
@@ -287,10 +303,10 @@ def decode(encoded: DataFrame, ids_col: str = "ids", *, path: str | None = None)
     at = encoded.columns.index(ids_col)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        tokens = token_table(path)  # the merges are not needed here
         for batch in batches:
             ids = (x.as_py() for x in batch.column(at))
-            texts = pa.array([None if x is None else vocabulary.decode(x) for x in ids], pa.string())
+            texts = pa.array([None if x is None else tokens.decode(x) for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)
 
     return encoded.mapInArrow(decoded, schema)
