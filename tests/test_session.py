@@ -38,3 +38,27 @@ def test_a_cluster_needs_a_shared_folder():
         session.shared_folder(cluster(None, "local-cluster[2,1,1024]"))
     assert session.shared_folder(cluster(None, "local[4]")) == "/warehouse/scratch"
     assert session.shared_folder(cluster("/tmp/own", "local[4]")) == "/tmp/own"
+
+
+def test_executors_of_a_local_cluster_share_the_disk_of_the_driver():
+    assert session.shared_folder(cluster("/tmp/checkpoints", "local-cluster[3,4,1024]")) == "/tmp/checkpoints"
+
+
+def test_a_scheme_may_stand_without_an_authority():
+    assert session.shared_folder(cluster("file:/mnt/shared")) == "file:/mnt/shared"
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_named_folder_takes_a_warehouse_it_shares(monkeypatch, master):
+    there = cluster(None, master)
+    there.sparkContext.applicationId = "app"
+    there.conf.get = {"spark.sql.warehouse.dir": "file:/mnt/warehouse"}.get
+    monkeypatch.setattr(session, "_is_shared", lambda application, folder: True)
+    assert session.shared_folder(there) == "file:/mnt/warehouse/scratch"
+    monkeypatch.setattr(session, "_is_shared", lambda application, folder: False)
+    with pytest.raises(ValueError):
+        session.shared_folder(there)
+
+
+def test_rows_written_by_tasks_are_read_back(spark, tmp_path):
+    assert session._is_shared(spark.sparkContext.applicationId, f"file:{tmp_path}/scratch")
