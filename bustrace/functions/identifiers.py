@@ -83,9 +83,9 @@ def with_identifiers(
         steps = compile_path(path)
         if steps is None:
             continue
-        places = [matches("value", steps), matches("_headers_doc", steps)]
+        places = [matches("value", steps, "_value_text"), matches("_headers_doc", steps, "_headers_text")]
         if steps[0] == ("child", "headers") and len(steps) > 1:
-            places.append(matches("_headers_doc", steps[1:]))
+            places.append(matches("_headers_doc", steps[1:], "_headers_text"))
         parts.append(_labelled(F.array_distinct(F.concat(*places)), len(parts), f"jsonpath:{path}"))
     added = [c for c in found.columns if c not in messages.columns]
     return found.withColumn("ids", F.concat(*parts).cast(IDS_TYPE)).drop(*added)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import bustrace as b
 from bustrace.functions.identifiers import correlation_ids
+from bustrace.functions.jsonpath import compile_path, matches
 from bustrace.functions.text import leaf_text
 
 PAYLOADS = [
@@ -113,3 +114,28 @@ def test_descent_to_any_depth(bus):
 def test_no_python_in_a_descent(bus):
     found = correlation_ids(b.enrich(bus(message("t", 0, {"a": 1}))), jsonpath_expressions=["$..a"])
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+DOCUMENTS = [
+    '{"a":{"b":[{"id":1},{"id":"x"},[{"id":null}]]},"id":true}',
+    '{"a":"id","b":["a","id"]}',
+    '{"\\u0069d":5,"a b":{"id":{"id":2.50}}}',
+    '{"i\\"d":1,"é":{"id":7}}',
+    '[{"id":3},4]',
+    '"id"',
+    "null",
+    None,
+]
+PATHS = ["$.id", "$..id", "$.a..id", "$.a.b[*].id", "$['a b'].id", "$.*", "$..id.id", "$.b[*]", "$['é'].id", "$['i\"d']"]
+
+
+def test_a_path_is_walked_only_where_the_text_names_its_members(spark):
+    """Same matches with and without the document's text."""
+    docs = spark.createDataFrame([(d,) for d in DOCUMENTS], "line string").selectExpr("try_parse_json(line) as doc")
+    docs = docs.selectExpr("doc", "to_json(doc) as _text")
+    for path in PATHS:
+        steps = compile_path(path)
+        row = docs.select(matches("doc", steps).alias("every"), matches("doc", steps, "_text").alias("named")).collect()
+        assert [r["every"] for r in row] == [r["named"] for r in row], path
+    ids = docs.select(matches("doc", compile_path("$..id"), "_text").alias("ids")).collect()
+    assert [sorted(r["ids"]) for r in ids] == [["1", "None", "True", "x"], [], ['2.5', '5', '{"id":2.5}'], ["7"], ["3"], [], [], []]
