@@ -139,3 +139,10 @@ def test_a_path_is_walked_only_where_the_text_names_its_members(spark):
         assert [r["every"] for r in row] == [r["named"] for r in row], path
     ids = docs.select(matches("doc", compile_path("$..id"), "_text").alias("ids")).collect()
     assert [sorted(r["ids"]) for r in ids] == [["1", "None", "True", "x"], [], ['2.5', '5', '{"id":2.5}'], ["7"], ["3"], [], [], []]
+
+
+def test_lines_are_made_before_they_are_read(spark, bus):
+    """Between export and import stands a generator, so the line is no argument of ``from_json``."""
+    plan = b.import_json(b.export_json(b.enrich(bus(message("t", 0, {"a": 1})))))._jdf.queryExecution().optimizedPlan().toString()
+    reading = [line for line in plan.splitlines() if "from_json" in line]
+    assert reading and not any("StructsToJson" in line for line in reading)
