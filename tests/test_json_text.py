@@ -1,5 +1,6 @@
 """Exported JSON that keeps the payload's text, and JSON paths that go down to any depth."""
 
+import base64
 import json
 import random
 
@@ -151,3 +152,19 @@ def test_lines_are_made_before_they_are_read(spark, bus):
     plan = b.import_json(b.export_json(b.enrich(bus(message("t", 0, {"a": 1})))))._jdf.queryExecution().optimizedPlan().toString()
     reading = [line for line in plan.splitlines() if "from_json" in line]
     assert reading and not any("StructsToJson" in line for line in reading)
+
+
+def test_payloads_without_a_mark_or_line_breaks_cost_no_search(spark, bus):
+    messages = b.decode(b.normalize(bus(message("t", 0, {"a": 1}, key="k"))))
+    assert "regexp_replace" not in messages._jdf.queryExecution().optimizedPlan().toString()
+    raw = [bytes(range(n)) for n in range(200)]
+    rows = b.enrich(bus(*[message("t", n, data, key=data) for n, data in enumerate(raw)]))
+    for chunked in ("true", "false"):
+        spark.conf.set("spark.sql.legacy.chunkBase64String.enabled", chunked)
+        try:
+            lines = [json.loads(r["value"]) for r in b.export_json(rows).collect()]
+        finally:
+            spark.conf.unset("spark.sql.legacy.chunkBase64String.enabled")
+        assert {r["offset"]: (r["raw"], r["raw_key"]) for r in lines} == {
+            n: (base64.b64encode(data).decode(), base64.b64encode(data).decode()) for n, data in enumerate(raw)
+        }
