@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bustrace.functions.text import leaf_sql, quote, quoted_list
+from bustrace.functions.text import leaf_sql, quote
 from bustrace.model import EVIDENCE_ALIASES, MESSAGE_EVENT, SOURCE
 
 
 def members_sql(value: str, names: list[str]) -> str:
-    """Top-level members of an object that are in ``names`` and not null, as a map of their text."""
-    present = (
-        f"map_filter(try_variant_get({value}, '$', 'map<string,variant>'),"
-        f" (name, leaf) -> name in ({quoted_list(names)}) and not is_variant_null(leaf))"
-    )
-    return f"transform_values({present}, (name, leaf) -> {leaf_sql('leaf')})"
+    """Top-level members of an object that are in ``names``, as a struct in the order in which a VARIANT has them."""
+    ordered = sorted(dict.fromkeys(names), key=lambda name: name.encode("utf-16-be", "surrogatepass"))
+    fields = ", ".join(f"`{name.replace('`', '``')}`: variant" for name in ordered)
+    return f"try_variant_get({value}, '$', 'struct<{fields}>')"
+
+
+def texts_sql(members: str) -> str:
+    """Text of the members that are there and not null."""
+    present = f"filter(array({members}.*), leaf -> leaf is not null and not is_variant_null(leaf))"
+    return f"transform({present}, leaf -> {leaf_sql('leaf')})"
 
 
 def with_evidence(df: DataFrame, aliases: dict[str, list[str]] = EVIDENCE_ALIASES) -> DataFrame:
@@ -25,7 +29,7 @@ def with_evidence(df: DataFrame, aliases: dict[str, list[str]] = EVIDENCE_ALIASE
     """
     spellings = list(dict.fromkeys(a for names in aliases.values() for a in names))
     # All spellings come out of the value in one step.
-    members = f"try_variant_get(value, '$', 'struct<{', '.join(f'`{a}`: variant' for a in spellings)}>')"
+    members = members_sql("value", spellings)
     first, texts = {}, []
     for name, names in aliases.items():
         in_value = ", ".join(f"if(is_variant_null(_members.`{a}`), null, _members.`{a}`)" for a in names)

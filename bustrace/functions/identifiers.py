@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bustrace.functions.evidence import members_sql
+from bustrace.functions.evidence import members_sql, texts_sql
 from bustrace.functions.jsonpath import compile_path, matches
 from bustrace.functions.text import leaf_sql, quote, quoted_list
 from bustrace.model import COORDS, ID_FIELDS, SOURCE_FIELDS
@@ -42,6 +42,16 @@ def usable_patterns(spark: SparkSession, patterns: list[str] | None) -> list[tup
     return usable
 
 
+def required_text(pattern: str) -> str | None:
+    """Characters with which every match of a valid pattern begins, None if there are none or it is not plain to see."""
+    plain = r"[A-Za-z0-9_\"':;,=/@ -]+"
+    start = re.match(rf"\(({plain})\)(?![?*{{])|({plain})([?*{{]?)", pattern)
+    if start is None or "|" in pattern:
+        return None
+    group, text, optional = start.groups()
+    return group or (text[:-1] if optional else text) or None
+
+
 def _labelled(ids: Column, rank: int, method: str) -> Column:
     return F.transform(
         ids, lambda i: F.struct(i.alias("id"), F.lit(rank).alias("method_rank"), F.lit(method).alias("method"))
@@ -53,8 +63,9 @@ def with_identifiers(
     regex_patterns: list[str] | None = None,
     jsonpath_expressions: list[str] | None = None,
     id_fields: list[str] = ID_FIELDS,
+    standard: bool = True,
 ) -> DataFrame:
-    """Add ``ids``: the distinct (id, method) pairs of each full message.
+    """Add ``ids``: the distinct (id, method) pairs of each full message; without the standard ones if so asked.
 
     Standard: non-null well-known fields of the value and the headers, and the evidence identifiers; the message key
     is no source. Regular expressions run on the JSON text of the value and of the headers; JSON paths on both.
@@ -69,14 +80,18 @@ def with_identifiers(
         }
     )
     empty = "cast(array() as array<string>)"
-    standard = F.expr(
-        f"concat(coalesce(map_values(_found), {empty}),"
+    own = F.expr(
+        f"concat(if(_found is null, {empty}, {texts_sql('_found')}),"
         f" map_values(map_filter(headers, (name, text) -> name in ({quoted_list(id_fields)}))),"
         " filter(array(keys.*), k -> k is not null))"
     )
-    parts = [_labelled(F.array_distinct(standard), 0, "standard")]
+    parts = [_labelled(F.array_distinct(own) if standard else none, 0, "standard")]
     for pattern, form, groups in usable_patterns(messages.sparkSession, regex_patterns):
-        texts = [F.regexp_extract_all(c, F.lit(form), F.lit(g)) for c in ("_value_text", "_headers_text") for g in groups]
+        held = required_text(pattern)
+        texts = []
+        for c in ("_value_text", "_headers_text"):
+            text = F.col(c) if held is None else F.when(F.contains(F.col(c), F.lit(held)), F.col(c))
+            texts += [F.regexp_extract_all(text, F.lit(form), F.lit(g)) for g in groups]
         ids = F.array_distinct(F.concat(*[F.coalesce(t, none) for t in texts]))
         parts.append(_labelled(ids, len(parts), f"regex:{pattern}"))
     for path in jsonpath_expressions or []:

@@ -23,7 +23,7 @@ def header_map_sql(headers: str) -> str:
     given = f"coalesce({headers}, cast(array() as {HEADERS_TYPE}))"
     names = f"{given}.key"
     last_ones = f"filter({given}, (h, i) -> not array_contains(slice({names}, i + 2, size({names})), h.key))"
-    once = f"if(size(array_distinct({names})) = size({names}), {given}, {last_ones})"
+    once = f"if(size({headers}) <= 1 or size(array_distinct({names})) = size({names}), {given}, {last_ones})"
     return f"map_from_entries(transform({once}, h -> struct(h.key as key, {header_text_sql('h.value')} as value)))"
 
 

@@ -503,15 +503,15 @@ def ids_standard(spark, sf_dir):
 @query
 def ids_regex(spark, sf_dir):
     messages = b.enrich(_plain(spark, sf_dir, FOLLOW))
-    found = correlation_ids(messages, regex_patterns=[r"SUP-(\d+)", r"(CUST)-(\d+)", "(broken", '"PROD-[0-9]+"'])
-    return found.filter("method <> 'standard'")
+    patterns = [r"SUP-(\d+)", r"(CUST)-(\d+)", "(broken", '"PROD-[0-9]+"']
+    return correlation_ids(messages, regex_patterns=patterns, standard=False)
 
 
 @query
 def ids_jsonpath(spark, sf_dir):
     messages = b.enrich(_plain(spark, sf_dir, FOLLOW))
     paths = ["$.items[*].id", "$.props.k", "$['shipment'].*", "$.headers['trace-id']", "items[0].id", "$..supplier", "$[?"]
-    return correlation_ids(messages, jsonpath_expressions=paths).filter("method <> 'standard'")
+    return correlation_ids(messages, jsonpath_expressions=paths, standard=False)
 
 
 def _all_topics(spark, sf_dir):
@@ -522,14 +522,14 @@ def _all_topics(spark, sf_dir):
 def ids_regex_all(spark, sf_dir):
     """``ids_regex`` over all eight topics."""
     patterns = [r"SUP-(\d+)", r"(CUST)-(\d+)", "(broken", '"PROD-[0-9]+"']
-    return correlation_ids(_all_topics(spark, sf_dir), regex_patterns=patterns).filter("method <> 'standard'")
+    return correlation_ids(_all_topics(spark, sf_dir), regex_patterns=patterns, standard=False)
 
 
 @query
 def ids_jsonpath_all(spark, sf_dir):
     """``ids_jsonpath`` over all eight topics, with more paths that go down to any depth."""
     paths = ["$.items[*].id", "$['shipment'].*", "$..supplier", "$..id", "$..customer_id", "$.props..k", "$..items..id"]
-    return correlation_ids(_all_topics(spark, sf_dir), jsonpath_expressions=paths).filter("method <> 'standard'")
+    return correlation_ids(_all_topics(spark, sf_dir), jsonpath_expressions=paths, standard=False)
 
 
 @query

@@ -10,7 +10,7 @@ from test_correlate import chains, random_bus
 
 import bustrace as b
 from bustrace import session
-from bustrace.functions.identifiers import correlation_ids, references
+from bustrace.functions.identifiers import correlation_ids, references, required_text
 from bustrace.model import COORDS
 from bustrace.plans import correlate as plan
 from bustrace.sources import references as table
@@ -166,3 +166,42 @@ def test_nothing_is_found(spark, bus, monkeypatch, topics):
         for depth in (1, 3):
             assert chains(b.correlate(raw, seeds, topics, max_depth=depth, index=index)) == {("a", 0, 0): []}
     assert b.correlate(raw, seeds.limit(0), topics, max_depth=2).count() == 0
+
+
+@pytest.mark.parametrize(
+    "pattern, text",
+    [
+        (r"SUP-(\d+)", "SUP-"),
+        (r"(CUST)-(\d+)", "CUST"),
+        ('"PROD-[0-9]+"', '"PROD-'),
+        ("ab*c", "a"),
+        ("a?b", None),
+        ("(ab)?c", None),
+        ("(?i)ab", None),
+        ("ab|c", None),
+        (r"\d+ab", None),
+        ("ab{0}c", "a"),
+        ("(ab)+c", "ab"),
+    ],
+)
+def test_text_that_a_match_begins_with(pattern, text):
+    assert required_text(pattern) == text
+
+
+def test_ids_without_the_standard_ones_need_no_evidence(bus):
+    rows = [message("t", i, {"order_id": f"ORD-{i}", "note": n}, headers={"h": "REF-9"}) for i, n in enumerate(["REF-1 REF-1", "none"])]
+    messages, patterns = b.enrich(bus(*rows)), [r"REF-\d+", "(?i)rd-[0-9]"]
+    found = correlation_ids(messages, regex_patterns=patterns, standard=False)
+    assert sorted(found.collect()) == sorted(
+        correlation_ids(messages, regex_patterns=patterns).filter("method <> 'standard'").collect()
+    )
+    assert [(r["offset"], r["id"]) for r in found.filter("method like '%REF%'").orderBy("offset", "id").collect()] == [
+        (0, "REF-1"), (0, "REF-9"), (1, "REF-9"),
+    ]
+    assert "msisdn" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_standard_ids_take_only_named_members_out_of_a_value(bus):
+    found = correlation_ids(b.enrich(bus(message("t", 0, {"traceId": 1.5, "order_id": "A", "x": {"y": 1}, "span_id": None}))))
+    assert [r["id"] for r in found.collect()] == ["A", "1.5"]
+    assert "map<string,variant>" not in found._jdf.queryExecution().optimizedPlan().toString()
