@@ -1,6 +1,7 @@
 """The inverted reference table: the same correlations with and without it, appended ranges, and what a scan reads."""
 
 import json
+import re
 
 import pyarrow.parquet as pq
 import pytest
@@ -205,3 +206,24 @@ def test_standard_ids_take_only_named_members_out_of_a_value(bus):
     found = correlation_ids(b.enrich(bus(message("t", 0, {"traceId": 1.5, "order_id": "A", "x": {"y": 1}, "span_id": None}))))
     assert [r["id"] for r in found.collect()] == ["A", "1.5"]
     assert "map<string,variant>" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rank_of_header_names(bus):
+    """Ranks are places in the list of names, also of names that hold a comma."""
+    raw = bus(message("t", 0, {"c": 1}, key=None, headers={"b": "x", "a,b": "y"}))
+    for fields in (["a", "b", "c"], ["a,b", "b", "c"]):
+        rows = references(b.decode(b.normalize(raw)), [], id_fields=fields).collect()
+        ranks = {r["field"]: r["kind_rank"] for r in rows}
+        expected = {f"header:{n}": i + 1 for i, n in enumerate(fields) if n in ("b", "a,b")}
+        assert ranks == {**expected, "value:c": 3 + 2 + 1}
+
+
+def test_a_text_is_made_once(bus):
+    """The test for null keys holds no text of a member; names are not looked up one by one."""
+    raw = bus(message("t", 0, {"order_id": "O-1"}, key=None))
+    rows = references(b.decode(b.normalize(raw)), [], bidirectional=True)
+    assert [(r["field"], r["ref_id"]) for r in rows.collect()] == [("value:order_id", "O-1")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    tests = [line for line in plan.splitlines() if re.match(r"\W*(\(\d+\) )?Filter ", line)]
+    assert tests and not any("schemaOfVariant" in line for line in tests)
+    assert "array_position" not in plan
