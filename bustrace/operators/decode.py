@@ -19,6 +19,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Closes a one-element list around the payload, so that anything after the first JSON value is noticed.
 _END = "␄end-of-payload"
 
+# An object of at most three levels whose texts have no backslash, and nothing but blanks around it. Braces outside of
+# texts are told apart, so the first value ends where the match does. Possessive throughout: no stack grows with the text.
+_BLANKS, _MEMBERS = r"[ \t\r\n]*+", r'[-+.:,\[\]0-9A-Za-z \t\r\n]++|"[^"\\]*+"'
+_INNER = rf"\{{(?:{_MEMBERS})*+\}}"
+_ONE_OBJECT = rf"\A{_BLANKS}\{{(?:{_MEMBERS}|\{{(?:{_MEMBERS}|{_INNER})*+\}})*+\}}{_BLANKS}\z"
+
 _FRAMED_TYPE = "text string, error string"
 
 
@@ -133,9 +139,11 @@ def decode(
         df = _add_framed(df, schemas, {**COMPILERS, **(decoders or {})}, snapshot_bytes)
         text = f"if({framed}, _body.text, {text})"
         failure, key_value = f"if({framed}, _body.error, null)", "try_parse_json(_key_body.text)"
-    closed = f"try_parse_json(concat('[', {text}, {quote(f',"{_END}"]')}))"
-    # The mark is the last element: a payload that holds it itself leaves another one behind.
+    # What is seen to be one whole object is parsed as it is. Any other payload is the first element of a list, whose last
+    # one is the mark: a payload that holds it itself leaves another one behind.
+    closed = f"try_parse_json(if(_one, _text, concat('[', _text, {quote(f',"{_END}"]')})))"
     whole = f"try_variant_get(_doc, '$[1]', 'string') = {quote(_END)} and try_variant_get(_doc, '$[2]', 'variant') is null"
+    inside = f"if({whole}, try_variant_get(_doc, '$[0]', 'variant'), null)"
     start = "trim(leading '\\uFEFF \\t\\r\\n' from cast(raw as string))"
     is_object = f"({framed} or startswith(cast(raw as string), '{{') or startswith({start}, '{{'))"
     status = (
@@ -144,8 +152,10 @@ def decode(
     )
     # One projection per step, so that each is computed once. The value comes out of a generator: a filter on it then
     # stays above, instead of being pushed below together with copies of the parse.
-    df = df.withColumn("_doc", F.expr(closed))
-    df = df.withColumn("_value", F.expr(f"if({whole}, try_variant_get(_doc, '$[0]', 'variant'), null)"))
+    df = df.withColumn("_text", F.expr(text))
+    df = df.withColumn("_one", F.expr(f"coalesce(_text rlike {quote(_ONE_OBJECT)}, false)"))
+    df = df.withColumn("_doc", F.expr(closed)).drop("_text")
+    df = df.withColumn("_value", F.expr(f"if(_one, _doc, {inside})")).drop("_one")
     df = df.withColumn("decode_status", F.expr(status))
     df = df.select("*", F.expr("explode(array(if(decode_status = 'ok', _value, null)))").alias("value"))
     return df.withColumns(

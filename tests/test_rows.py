@@ -10,6 +10,11 @@ import bustrace as b
 from bustrace.functions.framing import schema_id_sql
 from bustrace.functions.params import parse_headers, parse_iso_utc, parse_list
 from bustrace.functions.text import float_sql, leaf_sql, path_equals, payload_may_hold
+from bustrace.operators.decode import _ONE_OBJECT
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize(
@@ -147,3 +152,20 @@ def test_a_forged_end_mark_is_an_error(bus):
     raw = bus(message("t", 0, '{"a":1},"␄end-of-payload"'), message("t", 1, '{"a":1},2'), message("t", 2, '{"a":1}'))
     found = b.decode(b.normalize(raw)).select("offset", "decode_status").collect()
     assert [s for _, s in sorted(found)] == ["error", "error", "ok"]
+
+
+def test_whole_objects_are_parsed_without_a_list_around_them(bus):
+    objects = ['{"a":{"b":[{"c":"}"}]}}', ' {"a":"{","b":{}}\r\n', "{}", '{"a":1,"a":2}']
+    others = ['{"a":1}{"b":2}', '{"a":"{"},{"b":"}"}', '{"a":{"b":1}} x', '{"a":1}]', '{"a":"x\\"}"}', '{"a":{"b":{"c":{}}}}', "{a:1}"]
+    payloads = bus(*[message("t", o, text) for o, text in enumerate(objects + others)]).orderBy("offset")
+    seen = [r[0] for r in payloads.select(F.col("value").cast("string").rlike(_ONE_OBJECT)).collect()]
+    assert seen == [True] * len(objects) + [False] * (len(others) - 1) + [True]
+    long = '{"a":[' + '"x",{"y":{}},' * 200_000 + "1]}"
+    raw = bus(*[message("t", o, text) for o, text in enumerate([*objects, *others, long])])
+    decoded = b.decode(b.normalize(raw)).orderBy("offset")
+    status = [r["decode_status"] for r in decoded.select("decode_status").collect()]
+    assert status == ["ok"] * 4 + ["error"] * 4 + ["ok", "ok", "error", "ok"]
+    values = [r[0] for r in decoded.filter("offset < 4").select(F.to_json("value")).collect()]
+    assert values == ['{"a":{"b":[{"c":"}"}]}}', '{"a":"{","b":{}}', "{}", '{"a":2}']
+    # The list and the mark are made for other payloads only.
+    assert "if (_one" in plan_of(decoded)
