@@ -23,8 +23,14 @@ def header_map_sql(headers: str) -> str:
     given = f"coalesce({headers}, cast(array() as {HEADERS_TYPE}))"
     names = f"{given}.key"
     last_ones = f"filter({given}, (h, i) -> not array_contains(slice({names}, i + 2, size({names})), h.key))"
-    once = f"if(size({headers}) <= 1 or size(array_distinct({names})) = size({names}), {given}, {last_ones})"
-    return f"map_from_entries(transform({once}, h -> struct(h.key as key, {header_text_sql('h.value')} as value)))"
+    distinct = f"(size({headers}) <= 1 or size(array_distinct({names})) = size({names}))"
+    once = f"if({distinct}, {given}, {last_ones})"
+    general = f"map_from_entries(transform({once}, h -> struct(h.key as key, {header_text_sql('h.value')} as value)))"
+    # Without nulls and bad bytes the texts are the bytes as they are, which takes no lambda. X'FF' is in no valid text, and
+    # a comma between texts keeps a character that is cut off from being completed by the next one.
+    values, texts = f"{given}.value", f"cast({given}.value as array<string>)"
+    as_they_are = f"{distinct} and not coalesce(array_contains({values}, X'FF'), true) and is_valid_utf8(array_join({texts}, ','))"
+    return f"if({as_they_are}, map_from_arrays({names}, {texts}), {general})"
 
 
 def opened(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:

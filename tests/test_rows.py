@@ -169,3 +169,17 @@ def test_whole_objects_are_parsed_without_a_list_around_them(bus):
     assert values == ['{"a":{"b":[{"c":"}"}]}}', '{"a":"{","b":{}}', "{}", '{"a":2}']
     # The list and the mark are made for other payloads only.
     assert "if (_one" in plan_of(decoded)
+
+
+def test_header_texts_are_the_bytes_where_these_are_text(bus):
+    kinds = {
+        0: [("a", "x"), ("b", "y")], 1: [("a", "x"), ("a", "é")], 2: [("a", None), ("b", "y")], 3: [("a", b"\xc3"), ("b", b"\xa9")],
+        4: [], 5: None, 6: [("a", b"\xff")], 7: [("a", ""), ("b", "é")],
+    }
+    raw = bus(*[message("t", o, {}, headers=h) for o, h in kinds.items()])
+    rows = b.normalize(raw)
+    assert "map_from_arrays" in plan_of(rows.select("headers"))
+    assert [r["headers"] for r in rows.orderBy("offset").select("headers").collect()] == [
+        {"a": "x", "b": "y"}, {"a": "é"}, {"a": "None", "b": "y"}, {"a": "\ufffd", "b": "\ufffd"}, {}, {}, {"a": "\ufffd"},
+        {"a": "", "b": "é"},
+    ]
