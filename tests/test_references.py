@@ -2,6 +2,7 @@
 
 import json
 import re
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -227,3 +228,58 @@ def test_a_text_is_made_once(bus):
     tests = [line for line in plan.splitlines() if re.match(r"\W*(\(\d+\) )?Filter ", line)]
     assert tests and not any("schemaOfVariant" in line for line in tests)
     assert "array_position" not in plan
+
+
+def stored_folders(spark):
+    root = Path(session.scratch_path(spark, "none").removeprefix("file:")).parent
+    return {f.name for f in root.iterdir()} if root.exists() else set()
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("sliced_rows", [0, 2_000_000])
+def test_an_index_leaves_nothing_beside_it(spark, bus, tmp_path, monkeypatch, sliced_rows):
+    """Decoded rows and shuffle files go; slices hold the same rows, those of messages without any id too."""
+    monkeypatch.setattr(table, "SLICED_ROWS", sliced_rows)
+    path, before = str(tmp_path / "index"), (stored_folders(spark), shuffle_files(spark))
+    raw = some_bus(bus, 6).unionByName(bus(message("z", 0, {"phone": 5}), message("z", 1, None, key="k"), message("z", 2)))
+    b.write_index(raw.filter("offset < 20"), path, buckets=11)
+    b.append_index(raw, path)
+    assert stored_folders(spark) == before[0]
+    whole, index = b.build_index(raw), b.read_index(spark, path)
+    names = whole.references.columns
+    held = index.references.withColumn("same", F.col("bucket") == table.bucket_of("ref_id", 11))
+    assert held.filter("not same").count() == 0
+    expected = whole.references.join(table.covered(spark, path), ["topic", "partition"], "left_semi").select(*names)
+    assert sorted(index.references.select(*names).collect()) == sorted(expected.collect())
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in Path(path).glob("*/*/*.parquet")}
+    assert codecs == {"ZSTD"}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = session.store(spark.range(1000).repartition(3, "id"), "shuffled")
+    left = {f for f in shuffle_files(spark) - before if f.endswith(".data")}
+    assert not left and rows.count() == 1000
+
+
+@pytest.mark.parametrize("buckets", [None, 3, 64])
+@pytest.mark.parametrize("seed, options", [(7, {}), (8, {"max_depth": 3, "bidirectional": True}), (9, {"max_depth": 2, "limit": 9})])
+def test_many_ids_are_followed_in_slices(spark, bus, tmp_path, monkeypatch, seed, options, buckets):
+    raw = some_bus(bus, seed)
+    index = None
+    if buckets:
+        b.write_index(raw, str(tmp_path / "index"), buckets=buckets)
+        index = b.read_index(spark, str(tmp_path / "index"))
+    seeds, topics = b.enrich(raw.filter("topic = 'a' and offset < 3")), ["b", "c", "a"]
+    expected = trace_rows(b.correlate(raw, seeds, topics, index=index, **options))
+    calls, sliced = [], plan._discover_in_slices
+    monkeypatch.setattr(plan, "_discover_in_slices", lambda *a: (calls.append(a), sliced(*a))[1])
+    monkeypatch.setattr(plan, "SLICED_BYTES", -1)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
+    assert trace_rows(b.correlate(raw, seeds, topics, index=index, **options)) == expected and calls
+    none = b.correlate(raw, seeds, ["nowhere"], index=index, **options)
+    assert none.count() == min(seeds.count(), options.get("limit", 99))
