@@ -261,7 +261,7 @@ def test_an_index_leaves_nothing_beside_it(spark, bus, tmp_path, monkeypatch, sl
 
 def test_stored_tables_leave_no_shuffle_files(spark):
     before = shuffle_files(spark)
-    rows = session.store(spark.range(1000).repartition(3, "id"), "shuffled")
+    rows = session.store(spark.range(1000).repartition(3, "id"), "shuffled", compact=True)
     left = {f for f in shuffle_files(spark) - before if f.endswith(".data")}
     assert not left and rows.count() == 1000
 
